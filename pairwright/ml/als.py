@@ -25,7 +25,7 @@ def index_log(
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Action log with dense user and item ids, and the two id tables. Rows with a null key are dropped."""
     user_ids, item_ids = dense_ids(log, user, USER_ID), dense_ids(log, item, ITEM_ID)
-    indexed = attach_ids(attach_ids(log, user_ids, user, min_hot_rows), item_ids, item, min_hot_rows)
+    indexed = attach_ids(log, {user: user_ids, item: item_ids}, min_hot_rows)
     return indexed.select(*log.columns, USER_ID, ITEM_ID), user_ids, item_ids
 
 

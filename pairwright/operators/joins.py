@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 HOT_LIMIT = 512  # keys that are split; any other key holds less than 1/HOT_LIMIT of the rows
+SKETCH_SIZE = 16384  # values a heavy-hitter sketch keeps
 HOT_MIN_ROWS = 2_000_000  # a key with fewer rows is no problem for one task
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 << 20
@@ -53,24 +54,26 @@ class HotKey:
     splits: int
 
 
-def hot_keys(df: DataFrame, on: list[str], min_rows: int | None = None) -> list[HotKey]:
-    """Keys that hold too many rows for one task, found in one pass with a mergeable heavy-hitter sketch.
+def hot_keys(df: DataFrame, *keys: list[str], min_rows: int | None = None) -> list[list[HotKey]]:
+    """Per given key, its values that hold too many rows for one task; found in one pass for all keys.
 
-    No shuffle of the keys: each task sends one sketch. The sketch finds every key above 1/HOT_LIMIT of the rows. Null
-    is a key here too, since outer joins and windows send all its rows to one task.
+    No shuffle of the keys: each task sends one mergeable heavy-hitter sketch per key. A sketch finds every value above
+    1/HOT_LIMIT of the rows. Null is a value here too, since outer joins and windows send all its rows to one task.
     """
     min_rows = HOT_MIN_ROWS if min_rows is None else min_rows
-    key_hash = F.xxhash64(*on)
     found = (
-        df.select(key_hash.alias("key_hash"))
+        df.select(*[F.xxhash64(*on).alias(f"key_{i}") for i, on in enumerate(keys)])
         .agg(
             F.count(F.lit(1)).alias("rows"),
-            F.expr(f"approx_top_k(key_hash, {HOT_LIMIT}, 16384)").alias("top"),
+            *[F.expr(f"approx_top_k(key_{i}, {HOT_LIMIT}, {SKETCH_SIZE})").alias(f"top_{i}") for i in range(len(keys))],
         )
         .first()
     )
     bound = max(min_rows, found["rows"] // (8 * HOT_LIMIT), 1)
-    return [HotKey(t["item"], math.ceil(t["count"] / bound)) for t in found["top"] if t["count"] > bound]
+    return [
+        [HotKey(t["item"], math.ceil(t["count"] / bound)) for t in found[f"top_{i}"] if t["count"] > bound]
+        for i in range(len(keys))
+    ]
 
 
 def _spread(df: DataFrame, by: list[str] | None = None) -> Column:
@@ -127,7 +130,7 @@ def lookup_join(
     """Attach a lookup table: broadcast when it is measured to be small, otherwise a join with hot keys spread."""
     if fits_broadcast(right, max_rows):
         return left.join(F.broadcast(right), on, how)
-    return salted_join(left, right, on, how, hot_keys(left, on, min_hot_rows))
+    return salted_join(left, right, on, how, hot_keys(left, on, min_rows=min_hot_rows)[0])
 
 
 def pair_join(
@@ -151,10 +154,11 @@ def pair_join(
     counts = left.groupBy(*on).agg(F.count(F.lit(1)).alias("l")).join(
         right.groupBy(*on).agg(F.count(F.lit(1)).alias("r")), on
     )
-    pairs = F.col("l") * F.col("r")
-    total = counts.agg(F.sum(pairs.cast("double"))).first()[0] or 0.0
+    pairs = F.col("l").cast("double") * F.col("r")
+    matched = counts.agg(F.sum(pairs).alias("pairs"), F.sum("r").alias("right_rows")).first()
+    total, right_rows = matched["pairs"] or 0.0, matched["right_rows"] or 0
     tasks = int(min(MAX_TASKS, max(math.ceil(total / pairs_per_task), spark.sparkContext.defaultParallelism)))
-    if fits_broadcast(right, max_rows):
+    if right_rows <= max_rows and fits_broadcast(right, max_rows):
         spread = left.withColumn("_spread", _spread(left, left_by and [*on, *left_by]))
         return spread.repartition(tasks, "_spread").drop("_spread").join(F.broadcast(right), on)
     axes = {"_rows": F.ceil(F.col("l") / cell_rows), "_cols": F.ceil(F.col("r") / cell_rows)}

@@ -53,12 +53,15 @@ def dense_ids(df: DataFrame, key: str, id_col: str, digits: int = 3) -> DataFram
     )
 
 
-def attach_ids(df: DataFrame, ids: DataFrame, key: str, min_hot_rows: int | None = None) -> DataFrame:
-    """Inner join that adds the id of a key; rows with a null or unknown key are dropped.
+def attach_ids(df: DataFrame, ids: dict[str, DataFrame], min_hot_rows: int | None = None) -> DataFrame:
+    """Inner joins that add the ids of key columns; rows with a null or unknown key are dropped.
 
-    ``ids`` grows with the data, so nothing is broadcast by hand; hot keys of the log are spread.
+    Id tables grow with the data, so nothing is broadcast by hand; hot keys of the log are spread.
     """
-    return salted_join(df, ids, [key], "inner", hot_keys(df, [key], min_hot_rows))
+    hot = hot_keys(df, *[[key] for key in ids], min_rows=min_hot_rows)
+    for (key, table), hot_values in zip(ids.items(), hot):
+        df = salted_join(df, table, [key], "inner", hot_values)
+    return df
 
 
 def _stamp(df: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:

@@ -51,9 +51,9 @@ def outcome_flags(
     for fact in facts:
         groups.setdefault(tuple(sorted(ours for ours, _ in fact.keys)), []).append(fact)
     joined = pairs
-    for on, members in groups.items():
-        counts = _fact_counts(members, list(on))
-        joined = salted_join(joined, counts, list(on), "left", hot_keys(pairs, list(on), min_hot_rows))
+    hot = hot_keys(pairs, *map(list, groups), min_rows=min_hot_rows)
+    for (on, members), hot_values in zip(groups.items(), hot):
+        joined = salted_join(joined, _fact_counts(members, list(on)), list(on), "left", hot_values)
     factor = F.lit(1).cast("long")
     if not distinct:
         for fact in facts:

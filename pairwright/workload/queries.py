@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairwright.functions import age_years, area_code, date_serial, gap_band, match_level, region_group
-from pairwright.ml.als import ITEM_ID, USER_ID, fit_als, index_log, score_lists
+from pairwright.ml.als import USER_ID, fit_als, index_log, score_lists
 from pairwright.ml.forest import fit_forest, match_scores
 from pairwright.operators.eligibility import eligible_filter, eligible_pairs
 from pairwright.operators.features import fill_missing, fill_numeric
@@ -25,7 +25,7 @@ from pairwright.operators.funnel import (
     score_buckets,
 )
 from pairwright.operators.joins import all_pairs
-from pairwright.operators.keys import attach_ids, dense_ids, distinct_keys, distinct_pairs, rank_within, row_ids
+from pairwright.operators.keys import dense_ids, distinct_keys, distinct_pairs, rank_within, row_ids
 from pairwright.operators.lookup import dim_lookup, extract_mapping, facts_for_keys
 from pairwright.operators.outcomes import Fact, outcome_flags, repeat_rows
 from pairwright.operators.ranking import at_least, positive, score_export, top_n
@@ -139,9 +139,7 @@ def q_dense_user_ids(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def q_attach_dense_ids(spark: SparkSession, folder: str) -> DataFrame:
-    log = f.action_log(spark, folder)
-    with_user = attach_ids(log, dense_ids(log, "user", USER_ID), "user")
-    return attach_ids(with_user, dense_ids(log, "item", ITEM_ID), "item").select(*log.columns, USER_ID, ITEM_ID)
+    return index_log(f.action_log(spark, folder), "user", "item")[0]
 
 
 def q_row_ids(spark: SparkSession, folder: str) -> DataFrame:
@@ -172,8 +170,9 @@ def q_target_facts_semi(spark: SparkSession, folder: str) -> DataFrame:
 def _outcomes(spark: SparkSession, folder: str) -> DataFrame:
     events = f.facts(spark, folder)
     suppliers = table(spark, folder, "supplier")
+    predictions = bind(f.scored_pairs(spark, folder), f.PREDICTIONS)
     return scored_outcomes(
-        bind(f.scored_pairs(spark, folder), f.PREDICTIONS),
+        materialize(predictions, "predictions"),  # a stored table in the report job, and read more than once
         bind(suppliers, f.MAPPING),
         events["passed"],
         events["mailed"],
@@ -188,7 +187,7 @@ def q_outcome_flags(spark: SparkSession, folder: str) -> DataFrame:
         "CAST(o_custkey AS STRING) AS u", "CAST(l_suppkey + 100000 AS STRING) AS i", "score"
     )
     flagged = outcome_flags(
-        pairs,
+        materialize(pairs, "pairs"),
         [
             Fact("passed", events["passed"], (("i", "passed_aodrid"), ("u", "passed_astfid"))),
             Fact("applied", events["applied"], (("i", "applied_aodrid"), ("u", "applied_astfid"))),
