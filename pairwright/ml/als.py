@@ -77,7 +77,8 @@ def _block_scorer(user: str, item: str, score: str, limit: int) -> Callable[[pd.
     """
 
     def score_block(users: pd.DataFrame, items: pd.DataFrame) -> pd.DataFrame:
-        parts = []
+        user_names, item_names = users[user].to_numpy(), items[item].to_numpy()
+        rows, cols, kept = [np.empty(0, int)], [np.empty(0, int)], [np.empty(0, np.float32)]
         if len(users) and len(items):
             left = np.stack(users["_factors"].to_numpy()).astype(np.float64)
             right = np.stack(items["_factors"].to_numpy()).astype(np.float64).T
@@ -87,16 +88,11 @@ def _block_scorer(user: str, item: str, score: str, limit: int) -> Callable[[pd.
                 if limit > 0:
                     keep &= scores >= nth_distinct(scores, limit)
                 row, col = np.nonzero(keep)
-                parts.append(
-                    pd.DataFrame(
-                        {
-                            user: users[user].to_numpy()[start + row],
-                            item: items[item].to_numpy()[col],
-                            score: scores[row, col],
-                        }
-                    )
-                )
-        return pd.concat(parts) if parts else pd.DataFrame({user: [], item: [], score: []})
+                rows.append(start + row)
+                cols.append(col)
+                kept.append(scores[row, col])
+        columns = {user: user_names[np.concatenate(rows)], item: item_names[np.concatenate(cols)], score: np.concatenate(kept)}
+        return pd.DataFrame({name: pd.Series(column, dtype=column.dtype) for name, column in columns.items()})
 
     def nth_distinct(scores, n):
         """Per row the n-th highest distinct value, or -inf when there are fewer."""
