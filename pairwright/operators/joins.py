@@ -169,24 +169,23 @@ def pair_join(
         .limit(2 * HOT_LIMIT)
         .drop("_pairs")
     )
-    grid = spark.createDataFrame(split.collect(), split.schema)  # at most 2 * HOT_LIMIT rows
+    hot = split.collect()  # at most 2 * HOT_LIMIT rows
+    if not hot:
+        return left.repartition(tasks, *on).join(right.repartition(tasks, *on), on)
+    grid = spark.createDataFrame(hot, split.schema)
+    cells = [*on, "_row", "_col"]
 
     def to_cells(df: DataFrame, own: str, other: str, by: list[str] | None) -> DataFrame:
         return (
             df.withColumn("_spread", _spread(df, by and [*on, *by]))
             .join(F.broadcast(grid), on, "left")
-            .withColumn(f"{own}_at", F.pmod("_spread", F.coalesce(own, F.lit(1))).cast("int"))
-            .withColumn(f"{other}_at", F.explode(F.sequence(F.lit(0), F.coalesce(other, F.lit(1)) - 1)))
+            .withColumn(own, F.pmod("_spread", F.coalesce(f"{own}s", F.lit(1))).cast("int"))
+            .withColumn(other, F.explode(F.sequence(F.lit(0), F.coalesce(f"{other}s", F.lit(1)) - 1)))
             .drop("_spread", "_rows", "_cols")
-            .repartition(tasks, *on, "_rows_at", "_cols_at")
+            .repartition(tasks, *cells)
         )
 
-    cells = [*on, "_rows_at", "_cols_at"]
-    return (
-        to_cells(left, "_rows", "_cols", left_by)
-        .join(to_cells(right, "_cols", "_rows", right_by), cells)
-        .drop("_rows_at", "_cols_at")
-    )
+    return to_cells(left, "_row", "_col", left_by).join(to_cells(right, "_col", "_row", right_by), cells).drop("_row", "_col")
 
 
 def all_pairs(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from pairwright import schemas as s
 from pairwright.functions import area_code
-from pairwright.ml.als import ITEM_ID, USER_ID, fit_als, index_log, score_lists
+from pairwright.ml.als import ALL_CELL, ITEM_ID, USER_ID, fit_als, index_log, score_lists
 from pairwright.ml.forest import ForestFit, fit_forest, match_scores
 from pairwright.operators.eligibility import eligible_filter, eligible_pairs
 from pairwright.operators.features import derive, fill_missing, fill_numeric, plan_sides
@@ -29,7 +29,7 @@ from pairwright.operators.joins import lookup_join
 from pairwright.operators.keys import row_ids
 from pairwright.operators.lookup import dim_lookup, extract_mapping, facts_for_keys
 from pairwright.operators.outcomes import Fact, outcome_flags
-from pairwright.operators.ranking import at_least, score_export, top_n
+from pairwright.operators.ranking import at_least, score_export
 from pairwright.session import materialize
 from pairwright.sources.export import export_by_key
 from pairwright.sources.tables import (
@@ -238,7 +238,10 @@ def recommend(
     users, items = read_id_list(spark, users_path, "user_id"), read_id_list(spark, items_path, "item_id")
     model = ALSModel.load(model_path)
     scores = score_lists(model, users, items, user_ids, item_ids)
-    all_path, best_path = f"{out_path}/als_predict_data_all.csv", f"{out_path}/als_predict_data_limit.csv"
-    publish(scores, all_path, _run_date(run_date))
-    stored = read_table(spark, dated(all_path, run_date), scores.schema)
-    publish(top_n(stored, "user_id", "prediction", limit), best_path, run_date)
+    publish(scores, f"{out_path}/als_predict_data_all.csv", _run_date(run_date))
+    best_path = f"{out_path}/als_predict_data_limit.csv"
+    if limit > 0:  # from the factors again, in equal blocks: far less work than reading all scored pairs
+        publish(score_lists(model, users, items, user_ids, item_ids, limit, cell=ALL_CELL), best_path, run_date)
+    else:
+        everything = dated(f"{out_path}/als_predict_data_all.csv", run_date)
+        publish(read_table(spark, everything, scores.schema), best_path, run_date)

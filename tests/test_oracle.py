@@ -19,7 +19,10 @@ def connection():
 
 @pytest.mark.parametrize("name", sorted(oracle_sql()))
 def test_query_equals_sql(spark, connection, name):
-    assert difference(queries()[name](spark, FOLDER), connection, oracle_sql()[name]) is None
+    result = queries()[name](spark, FOLDER)
+    assert difference(result, connection, oracle_sql()[name]) is None
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("CartesianProduct|BroadcastNestedLoopJoin|BatchEvalPython|ArrowEvalPython", plan)
 
 
 def test_every_query_has_sql_or_trains_a_model():
@@ -35,12 +38,6 @@ def test_entry(spark):
     assert entry(spark).count() == 183
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
-def test_plans_stay_in_the_jvm_and_form_no_product(spark, name):
-    plan = queries()[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
-    assert not re.search("CartesianProduct|BroadcastNestedLoopJoin|BatchEvalPython|ArrowEvalPython", plan)
-
-
 def test_scans_read_only_what_is_needed(spark):
     plan = queries()["topn_dense_rank"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     assert "props" not in plan and "event_type" not in plan
