@@ -42,7 +42,8 @@ def dense_ids(df: DataFrame, key: str, id_col: str, digits: int = 3) -> DataFram
     an id is the rank in its bucket plus the sizes of the buckets before. Nothing is sampled or stored: evaluating the
     plan again, on any number of partitions, gives the same ids.
     """
-    bucket = F.substring(F.md5(F.col(key).cast("string")), 1, digits)
+    # Never null, so that no null filter is added to one use of the keys and both read the same exchange.
+    bucket = F.coalesce(F.substring(F.md5(F.col(key).cast("string")), 1, digits), F.lit(""))
     keys = df.where(F.col(key).isNotNull()).select(key).distinct().withColumn("_bucket", bucket)
     before = _offsets(keys.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n")), "_bucket", "_n")
     place = F.row_number().over(Window.partitionBy("_bucket").orderBy(key))
