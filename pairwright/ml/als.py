@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pairwright.operators.joins import MAX_TASKS
 from pairwright.operators.keys import attach_ids, dense_ids
 from pairwright.operators.ranking import top_n
 
@@ -157,8 +158,9 @@ def score_lists(
     )
     if rows < 0 or cols < 0:
         return left.sparkSession.createDataFrame([], schema)
-    left = left.withColumn("_col", F.explode(F.sequence(F.lit(0), F.lit(cols))))
-    right = right.withColumn("_row", F.explode(F.sequence(F.lit(0), F.lit(rows))))
+    tasks = min(MAX_TASKS, (rows + 1) * (cols + 1))
+    left = left.withColumn("_col", F.explode(F.sequence(F.lit(0), F.lit(cols)))).repartition(tasks, "_row", "_col")
+    right = right.withColumn("_row", F.explode(F.sequence(F.lit(0), F.lit(rows)))).repartition(tasks, "_row", "_col")
     scored = (
         left.groupBy("_row", "_col")
         .cogroup(right.groupBy("_row", "_col"))

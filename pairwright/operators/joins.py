@@ -40,10 +40,13 @@ def _row_bytes(df: DataFrame) -> Column:
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Whether a frame is small enough to send to every executor. Reads at most ``max_rows + 1`` rows."""
-    sized = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("rows"), F.sum(_row_bytes(df)).alias("bytes"))
-    found = sized.first()
-    return found["rows"] <= max_rows and (found["bytes"] or 0) <= max_bytes
+    """Whether a frame is small enough to send to every executor.
+
+    Rows are counted first, which reads few or no columns; bytes are measured only when the count is within bounds.
+    """
+    if df.count() > max_rows:
+        return False
+    return (df.agg(F.sum(_row_bytes(df))).first()[0] or 0) <= max_bytes
 
 
 @dataclass(frozen=True)
@@ -126,9 +129,13 @@ def lookup_join(
     how: str = "left",
     max_rows: int = BROADCAST_ROWS,
     min_hot_rows: int | None = None,
+    measure: DataFrame | None = None,
 ) -> DataFrame:
-    """Attach a lookup table: broadcast when it is measured to be small, otherwise a join with hot keys spread."""
-    if fits_broadcast(right, max_rows):
+    """Attach a lookup table: broadcast when it is measured to be small, otherwise a join with hot keys spread.
+
+    ``measure`` is a frame that ``right`` cannot exceed and that is cheaper to measure, such as its input.
+    """
+    if fits_broadcast(right if measure is None else measure, max_rows):
         return left.join(F.broadcast(right), on, how)
     return salted_join(left, right, on, how, hot_keys(left, on, min_rows=min_hot_rows)[0])
 

@@ -30,7 +30,7 @@ from pairwright.operators.keys import row_ids
 from pairwright.operators.lookup import dim_lookup, extract_mapping, facts_for_keys
 from pairwright.operators.outcomes import Fact, outcome_flags
 from pairwright.operators.ranking import at_least, score_export
-from pairwright.session import materialize
+from pairwright.session import materialize, temporary_tables
 from pairwright.sources.export import export_by_key
 from pairwright.sources.tables import (
     dated,
@@ -73,7 +73,8 @@ def candidate_features(users: DataFrame, items: DataFrame, schools: DataFrame, *
 def build_training_features(spark: SparkSession, pairs_path: str, schools_path: str, out_path: str) -> None:
     """Pair table with labels to training matrix."""
     features = training_features(read_table(spark, pairs_path), read_table(spark, schools_path))
-    write_table(row_ids(features, "id"), out_path)
+    with temporary_tables(spark):
+        write_table(row_ids(features, "id"), out_path)
 
 
 def fit_match_model(spark: SparkSession, training_path: str, model_path: str, **options: object) -> ForestFit:
@@ -91,7 +92,8 @@ def build_candidate_features(
     features = candidate_features(
         read_table(spark, users_path), read_table(spark, items_path), read_table(spark, schools_path)
     )
-    write_table(row_ids(features, "id"), out_path)
+    with temporary_tables(spark):
+        write_table(row_ids(features, "id"), out_path)
 
 
 def score_candidates(
@@ -109,7 +111,9 @@ def score_candidates(
         match_scores(PipelineModel.load(model_path), rows, "score", positive_label), "score", threshold
     ).select("i_aodrid", "u_wsfid", "score", "i_aodrno", "u_wsfno")
     mapping = read_table(spark, mapping_path, s.MAPPING).withColumnRenamed("mapping_aodrid", "i_aodrid")
-    write_table(score_export(scores, mapping, "i_aodrid", s.EXPORT_COLUMNS, s.EXPORT_ORDER), out_path)
+    with temporary_tables(spark):
+        stored = materialize(scores, "scores")  # the sort samples its input: without this, rows are scored twice
+        write_table(score_export(stored, mapping, "i_aodrid", s.EXPORT_COLUMNS, s.EXPORT_ORDER), out_path)
 
 
 def scored_outcomes(
@@ -233,15 +237,17 @@ def recommend(
 ) -> None:
     """Scores of listed users and items: all positive ones and each user's best, as dated and latest copies."""
     log = read_table(spark, indexed_path, s.INDEXED_LOG)
-    user_ids = materialize(log.select("user", USER_ID).distinct(), "user-ids")
-    item_ids = materialize(log.select("item", ITEM_ID).distinct(), "item-ids")
     users, items = read_id_list(spark, users_path, "user_id"), read_id_list(spark, items_path, "item_id")
     model = ALSModel.load(model_path)
-    scores = score_lists(model, users, items, user_ids, item_ids)
-    publish(scores, f"{out_path}/als_predict_data_all.csv", _run_date(run_date))
-    best_path = f"{out_path}/als_predict_data_limit.csv"
-    if limit > 0:  # from the factors again, in equal blocks: far less work than reading all scored pairs
-        publish(score_lists(model, users, items, user_ids, item_ids, limit, cell=ALL_CELL), best_path, run_date)
-    else:
-        everything = dated(f"{out_path}/als_predict_data_all.csv", run_date)
-        publish(read_table(spark, everything, scores.schema), best_path, run_date)
+    all_path, best_path = (f"{out_path}/als_predict_data_{kind}.csv" for kind in ("all", "limit"))
+    _run_date(run_date)
+    with temporary_tables(spark):
+        user_ids = materialize(log.select("user", USER_ID).distinct(), "user-ids")
+        item_ids = materialize(log.select("item", ITEM_ID).distinct(), "item-ids")
+        scores = score_lists(model, users, items, user_ids, item_ids)
+        publish(scores, all_path, run_date)
+        if limit > 0:  # from the factors again, in equal blocks: far less work than reading all scored pairs
+            best = score_lists(model, users, items, user_ids, item_ids, limit, cell=ALL_CELL)
+        else:
+            best = read_table(spark, dated(all_path, run_date), scores.schema)
+        publish(best, best_path, run_date)

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,9 +42,28 @@ def scratch_folder(spark: SparkSession) -> str:
     return folder
 
 
+_temporary: ContextVar[list[str] | None] = ContextVar("temporary", default=None)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write a frame once to the scratch folder and read it back: cuts lineage, survives executor loss."""
     spark = df.sparkSession
     path = f"{scratch_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    if (paths := _temporary.get()) is not None:
+        paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def temporary_tables(spark: SparkSession) -> Iterator[None]:
+    """Remove the tables that :func:`materialize` writes in this block when the block ends."""
+    token = _temporary.set([])
+    try:
+        yield
+    finally:
+        paths = _temporary.get() or []
+        _temporary.reset(token)
+        for path in paths:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pairwright.session import materialize, scratch_folder
+from pairwright.session import materialize, scratch_folder, temporary_tables
 from pairwright.sources.export import export_by_key
 from pairwright.sources.tables import (
     dated,
@@ -85,3 +85,11 @@ def test_materialize_uses_the_named_folder(spark):
     stored = materialize(spark.range(4), "four")
     assert stored.count() == 4
     assert all(f.removeprefix("file://").removeprefix("file:").startswith(scratch_folder(spark).removeprefix("file:")) for f in stored.inputFiles())
+
+
+def test_temporary_tables_are_removed(spark):
+    with temporary_tables(spark):
+        stored = materialize(spark.range(4), "four")
+        path = Path(stored.inputFiles()[0].removeprefix("file://").removeprefix("file:")).parent
+        assert path.is_dir()
+    assert not path.exists()
