@@ -44,8 +44,10 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int
 
     Rows are counted first, which reads few or no columns; bytes are measured only when the count is within bounds.
     """
-    if df.count() > max_rows:
-        return False
+    return df.count() <= max_rows and _bytes_fit(df, max_bytes)
+
+
+def _bytes_fit(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
     return (df.agg(F.sum(_row_bytes(df))).first()[0] or 0) <= max_bytes
 
 
@@ -158,14 +160,14 @@ def pair_join(
     in exactly one cell.
     """
     spark = left.sparkSession
-    counts = left.groupBy(*on).agg(F.count(F.lit(1)).alias("l")).join(
-        right.groupBy(*on).agg(F.count(F.lit(1)).alias("r")), on
-    )
+    one, none = F.lit(1), F.lit(0)
+    sides = left.select(*on, one.alias("l"), none.alias("r")).unionByName(right.select(*on, none.alias("l"), one.alias("r")))
+    counts = sides.groupBy(*on).agg(F.sum("l").alias("l"), F.sum("r").alias("r"))
     pairs = F.col("l").cast("double") * F.col("r")
-    matched = counts.agg(F.sum(pairs).alias("pairs"), F.sum("r").alias("right_rows")).first()
-    total, right_rows = matched["pairs"] or 0.0, matched["right_rows"] or 0
+    totals = counts.agg(F.sum(pairs).alias("pairs"), F.sum("r").alias("right_rows")).first()
+    total, right_rows = totals["pairs"] or 0.0, totals["right_rows"] or 0
     tasks = int(min(MAX_TASKS, max(math.ceil(total / pairs_per_task), spark.sparkContext.defaultParallelism)))
-    if right_rows <= max_rows and fits_broadcast(right, max_rows):
+    if right_rows <= max_rows and _bytes_fit(right):
         spread = left.withColumn("_spread", _spread(left, left_by and [*on, *left_by]))
         return spread.repartition(tasks, "_spread").drop("_spread").join(F.broadcast(right), on)
     axes = {"_rows": F.ceil(F.col("l") / cell_rows), "_cols": F.ceil(F.col("r") / cell_rows)}
