@@ -20,7 +20,7 @@ BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 << 20
 CELL_ROWS = 4096  # rows per side of one cell of a split many-to-many key
 PAIRS_PER_TASK = 4_000_000
-MAX_TASKS = 200_000
+MAX_TASKS = 20_000  # beyond this, tasks take more pairs instead: they stream, so memory does not grow
 
 
 def _row_bytes(df: DataFrame) -> Column:

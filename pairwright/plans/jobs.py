@@ -80,8 +80,10 @@ def build_training_features(spark: SparkSession, pairs_path: str, schools_path:
 def fit_match_model(spark: SparkSession, training_path: str, model_path: str, **options: object) -> ForestFit:
     """Training matrix to saved forest pipeline. ``options`` go to :func:`pairwright.ml.forest.fit_forest`."""
     rows = fill_numeric(read_table(spark, training_path, s.feature_matrix(with_label=True)))
-    fitted = fit_forest(rows, s.LABEL, s.FEATURE_COLUMNS, "id", **options)
-    fitted.model.write().overwrite().save(model_path)
+    with temporary_tables(spark):
+        stored = materialize(rows, "training")  # the search reads it many times: parse the text once
+        fitted = fit_forest(stored, s.LABEL, s.FEATURE_COLUMNS, "id", **options)
+        fitted.model.write().overwrite().save(model_path)
     return fitted
 
 
