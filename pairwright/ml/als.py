@@ -40,8 +40,13 @@ def fit_als(
     user_blocks: int = 10,
     item_blocks: int = 10,
     seed: int = 42,
+    combine: str | None = None,
 ) -> ALSModel:
-    """Fit ALS on an indexed log. Ids beyond 32 bits are refused, not wrapped."""
+    """Fit ALS on an indexed log. Ids beyond 32 bits are refused, not wrapped.
+
+    Repeated (user, item) rows count one by one. ``combine`` ('sum', 'max', 'min' or 'avg') makes them one rating first:
+    ALS keeps all ratings of a user in one block, so use it where a user repeats the same items very often.
+    """
     for name, value in {"rank": rank, "max_iter": max_iter, "user_blocks": user_blocks, "item_blocks": item_blocks}.items():
         if isinstance(value, bool) or not isinstance(value, int) or value < 1:
             raise ValueError(f"{name} must be a positive integer, not {value!r}")
@@ -50,6 +55,11 @@ def fit_als(
     top = indexed.agg(F.max(USER_ID), F.max(ITEM_ID)).first()
     if any(value is not None and value > MAX_ID for value in top):
         raise ValueError(f"ids {tuple(top)} do not fit in 32 bits")
+    if combine not in (None, "sum", "max", "min", "avg"):
+        raise ValueError(f"combine must be None, 'sum', 'max', 'min' or 'avg', not {combine!r}")
+    ratings = indexed.where(F.col(rating).isNotNull())
+    if combine is not None:
+        ratings = ratings.groupBy(USER_ID, ITEM_ID).agg(F.expr(f"{combine}(`{rating}`)").alias(rating))
     als = ALS(
         rank=rank,
         maxIter=max_iter,
@@ -64,9 +74,7 @@ def fit_als(
         coldStartStrategy="drop",
     )
     return als.fit(
-        indexed.where(F.col(rating).isNotNull()).select(
-            F.col(USER_ID).cast("int"), F.col(ITEM_ID).cast("int"), F.col(rating).cast("float")
-        )
+        ratings.select(F.col(USER_ID).cast("int"), F.col(ITEM_ID).cast("int"), F.col(rating).cast("float"))
     )
 
 

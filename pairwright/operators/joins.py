@@ -124,24 +124,6 @@ def salted_join(
     return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
 
 
-def lookup_join(
-    left: DataFrame,
-    right: DataFrame,
-    on: list[str],
-    how: str = "left",
-    max_rows: int = BROADCAST_ROWS,
-    min_hot_rows: int | None = None,
-    measure: DataFrame | None = None,
-) -> DataFrame:
-    """Attach a lookup table: broadcast when it is measured to be small, otherwise a join with hot keys spread.
-
-    ``measure`` is a frame that ``right`` cannot exceed and that is cheaper to measure, such as its input.
-    """
-    if fits_broadcast(right if measure is None else measure, max_rows):
-        return left.join(F.broadcast(right), on, how)
-    return salted_join(left, right, on, how, hot_keys(left, on, min_rows=min_hot_rows)[0])
-
-
 def pair_join(
     left: DataFrame,
     right: DataFrame,
@@ -197,6 +179,32 @@ def pair_join(
     return to_cells(left, "_row", "_col", left_by).join(to_cells(right, "_col", "_row", right_by), cells).drop("_row", "_col")
 
 
+def lookup_join(
+    left: DataFrame,
+    right: DataFrame,
+    on: list[str],
+    how: str = "left",
+    max_rows: int = BROADCAST_ROWS,
+    min_hot_rows: int | None = None,
+    measure: DataFrame | None = None,
+) -> DataFrame:
+    """Attach a lookup table: broadcast when it is measured to be small, otherwise a join with hot keys spread.
+
+    A table that repeats a key very often is joined as a grid of cells; left rows without a partner are added to that.
+    ``measure`` is a frame that ``right`` cannot exceed and that is cheaper to measure, such as its input.
+    """
+    if fits_broadcast(right if measure is None else measure, max_rows):
+        return left.join(F.broadcast(right), on, how)
+    [hot] = hot_keys(left, on, min_rows=min_hot_rows)
+    if how in ("inner", "left") and hot_keys(right, on, min_rows=min_hot_rows)[0]:
+        matched = pair_join(left, right, on, max_rows=0)
+        if how == "inner":
+            return matched
+        alone = salted_join(left, right.select(*on).distinct(), on, "left_anti", hot)
+        return matched.unionByName(alone, allowMissingColumns=True)
+    return salted_join(left, right, on, how, hot)
+
+
 def all_pairs(
     left: DataFrame, right: DataFrame, left_cell: int = CELL_ROWS, right_cell: int = CELL_ROWS
 ) -> DataFrame:

@@ -89,3 +89,17 @@ def test_fits_broadcast_counts_rows_and_bytes(spark):
     assert not fits_broadcast(wide, max_bytes=3000)
     assert fits_broadcast(wide, max_bytes=8000)
     assert fits_broadcast(spark.range(0))
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_lookup_join_with_a_heavy_value_on_both_sides(spark, skewed, how):
+    heavy = spark.range(300).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") + 20).alias("k"), F.col("id").alias("w"))
+    found = lookup_join(skewed, heavy, ["k"], how, max_rows=0, min_hot_rows=50)
+    assert values(found.select("k", "v", "w")) == values(skewed.join(heavy, ["k"], how).select("k", "v", "w"))
+
+
+def test_spread_is_the_same_when_computed_again(spark):
+    df = spark.range(0, 1000, numPartitions=5).select((F.col("id") % 3).alias("k"))
+    tagged = df.withColumn("s", joins._spread(df))
+    assert tagged.collect() == tagged.collect()
+    assert tagged.distinct().count() == 15

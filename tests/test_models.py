@@ -138,8 +138,17 @@ def test_save_and_load_give_equal_scores(spark, recommender, tmp_path):
 
 def test_bad_arguments(spark, recommender):
     indexed = recommender[2]
-    for bad in ({"rank": 0}, {"rank": "8"}, {"implicit_prefs": "False"}, {"max_iter": True}):
+    for bad in ({"rank": 0}, {"rank": "8"}, {"implicit_prefs": "False"}, {"max_iter": True}, {"combine": "first"}):
         with pytest.raises(ValueError):
             fit_als(indexed, **bad)
     with pytest.raises(ValueError):
         fit_als(indexed.withColumn(USER_ID, F.col(USER_ID) + 2**31))
+
+
+def test_combined_ratings(spark, recommender):
+    """Copies made one by averaging give the model of the log without copies."""
+    _, _, indexed, user_ids, item_ids, model = recommender
+    twice = fit_als(indexed.union(indexed), rank=2, max_iter=15, implicit_prefs=False, combine="avg")
+    users, items = lists(spark, ["u1", "u2"], [f"i{n}" for n in range(30)])
+    first, second = (score_lists(m, users, items, user_ids, item_ids).orderBy("user_id", "item_id").collect() for m in (model, twice))
+    assert [r["prediction"] for r in first] == pytest.approx([r["prediction"] for r in second], rel=1e-2)
