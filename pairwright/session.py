@@ -16,6 +16,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
+    # The JVM leaves larger generated methods uncompiled; wide feature projections are split into small ones instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

@@ -11,16 +11,17 @@ import duckdb
 from pyspark.sql import DataFrame, SparkSession
 
 from __spark_entry__ import oracle_sql, queries
+from pairwright.session import SETTINGS
 
 
 def session(**conf: str) -> SparkSession:
     builder = (
         SparkSession.builder.master("local[8]")
         .appName("checks")
+        .config(map=SETTINGS)
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", "8")
-        .config("spark.sql.session.timeZone", "UTC")
     )
     for name, value in conf.items():
         builder = builder.config(name.replace("__", "."), value)
