@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from urllib.parse import urlparse
 from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
@@ -32,27 +33,61 @@ def build_session(app_name: str, **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+_own_folders: dict[str, str] = {}  # application id to the temporary folder of a local session
+
+
 def scratch_folder(spark: SparkSession) -> str:
-    """Folder for intermediate tables: ``spark.checkpoint.dir``. Local sessions without one get a temporary folder."""
+    """Folder for intermediate tables: ``spark.checkpoint.dir``. Local sessions without one get a temporary folder.
+
+    With executors on other machines the folder must be one that all of them share, so a path without a scheme or on
+    ``file:`` is refused unless the master is local or runs its executors on this machine (``local-cluster``).
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
+    on_this_machine = spark.sparkContext.master.startswith("local")
     if folder:
+        if urlparse(folder).scheme in ("", "file") and not on_this_machine:
+            raise ValueError(f"spark.checkpoint.dir is {folder!r}: name a folder that all executors share")
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not on_this_machine:
         raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="pairwright-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    name = spark.sparkContext.applicationId
+    if name not in _own_folders:
+        _own_folders[name] = tempfile.mkdtemp(prefix="pairwright-")
+    return _own_folders[name]
 
 
 _temporary: ContextVar[list[str] | None] = ContextVar("temporary", default=None)
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write a frame once to the scratch folder and read it back: cuts lineage, survives executor loss."""
-    spark = df.sparkSession
+def _hadoop(spark: SparkSession, path: str) -> tuple[object, object]:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the scratch folder. What is written there goes with the block or with the session."""
     path = f"{scratch_folder(spark)}/{name}-{uuid.uuid4().hex}"
     if (paths := _temporary.get()) is not None:
         paths.append(path)
+    else:
+        files, folder = _hadoop(spark, path)
+        files.deleteOnExit(folder)
+    return path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a table written to the scratch folder."""
+    files, folder = _hadoop(spark, path)
+    files.delete(folder, True)
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame once to the scratch folder and read it back: cuts lineage, survives executor loss.
+
+    The table is removed when the enclosing :func:`temporary_tables` block ends, otherwise when the session ends.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -67,5 +102,4 @@ def temporary_tables(spark: SparkSession) -> Iterator[None]:
         paths = _temporary.get() or []
         _temporary.reset(token)
         for path in paths:
-            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+            remove(spark, path)

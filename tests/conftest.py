@@ -4,11 +4,8 @@ from tests.comparing import session
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
-    spark = session(spark__sql__shuffle__partitions="4", spark__ui__showConsoleProgress="false")
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("scratch")))
-    return spark
+def spark():
+    return session(spark__sql__shuffle__partitions="4", spark__ui__showConsoleProgress="false")
 
 
 def values(df, *columns):

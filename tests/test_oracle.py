@@ -5,7 +5,9 @@ import re
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from pairwright.workload.oracle import ORACLE
+from pairwright.workload.queries import QUERIES
 from tests.comparing import difference, duck
 
 FOLDER = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001")
@@ -17,21 +19,21 @@ def connection():
     return duck(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_equals_sql(spark, connection, name):
-    result = queries()[name](spark, FOLDER)
-    assert difference(result, connection, oracle_sql()[name]) is None
+    result = QUERIES[name](spark, FOLDER)
+    assert difference(result, connection, ORACLE[name]) is None
     plan = result._jdf.queryExecution().executedPlan().toString()
     assert not re.search("CartesianProduct|BroadcastNestedLoopJoin|BatchEvalPython|ArrowEvalPython", plan)
 
 
 def test_every_query_has_sql_or_trains_a_model():
-    assert queries().keys() - oracle_sql().keys() == TRAINED
+    assert QUERIES.keys() - ORACLE.keys() == TRAINED
 
 
 @pytest.mark.parametrize("name", sorted(TRAINED))
 def test_trained_queries_give_rows(spark, name):
-    assert queries()[name](spark, FOLDER).count() > 0
+    assert QUERIES[name](spark, FOLDER).count() > 0
 
 
 def test_entry(spark):
@@ -39,6 +41,6 @@ def test_entry(spark):
 
 
 def test_scans_read_only_what_is_needed(spark):
-    plan = queries()["topn_dense_rank"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    plan = QUERIES["topn_dense_rank"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     assert "props" not in plan and "event_type" not in plan
     assert "WindowGroupLimit" in plan
