@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pairwright.llm.common import table
+from pairwright.llm.lines import drop_frequent_lines
 from pairwright.llm.quality import fit_quality_rules, quality_verdicts
 from pairwright.session import materialize
 
@@ -19,8 +21,16 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality_verdicts(docs, rules, verdict="_kept").where("_kept").select(*docs.columns)
 
 
+def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines found in ten documents or more go from every document; ``n_chars`` follows the text."""
+    dropped = drop_frequent_lines(docs, result="_lines")
+    changed = {"text": F.col("_lines.text"), "n_chars": F.length("_lines.text").cast("long")}
+    return dropped.withColumns(changed).select(*docs.columns)
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("quality_rules", quality_stage),
+    ("line_dedup", line_stage),
 ]
 
 #: SQL cannot express the learned rules, the fingerprints or the tokenizer; tests compare run() with brute force.
@@ -30,6 +40,13 @@ ORACLE_SQL: str | None = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents table; each stage's result is stored and read again."""
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
+    for name, stage in def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines found in ten documents or more go from every document; ``n_chars`` follows the text."""
+    dropped = drop_frequent_lines(docs, result="_lines")
+    changed = {"text": F.col("_lines.text"), "n_chars": F.length("_lines.text").cast("long")}
+    return dropped.withColumns(changed).select(*docs.columns)
+
+
+STAGES:
         docs = materialize(stage(spark, docs, sf_dir), name)
     return docs

@@ -8,11 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairwright.llm.common import table
+from pairwright.llm.lines import drop_frequent_lines
 from pairwright.llm.quality import fit_quality_rules, quality_verdicts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_line_runs(spark: SparkSession, folder: str) -> DataFrame:
+    docs = drop_frequent_lines(table(spark, folder, "documents").select("doc_id", "text"))
+    kept = F.sha2(F.coalesce(F.col("lines.text"), F.lit("")), 256)
+    return docs.select("doc_id", "lines.n_lines", "lines.n_dropped", kept.alias("kept_sha256"))
+
+
 def op5_decision_list(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     rules = fit_quality_rules(docs, table(spark, folder, "labels"))
@@ -22,6 +29,23 @@ def op5_decision_list(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_line_runs": op2_line_runs,
     "op5_decision_list": op5_decision_list,
 }
-ORACLE: dict[str, str] = {}
+_SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+ORACLE: dict[str, str] = {
+    "op2_line_runs": f"""
+        WITH docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+        lines AS (
+            SELECT r, doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i
+            FROM docs
+        ),
+        keyed AS (SELECT *, translate(trim(line, {_SPACES}), '{_UPPER}', '{_LOWER}') AS k FROM lines),
+        frequent AS (SELECT k FROM keyed WHERE k <> '' GROUP BY k HAVING count(DISTINCT r) >= 10)
+        SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(f.k) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE f.k IS NULL), '')) AS kept_sha256
+        FROM keyed LEFT JOIN frequent f ON keyed.k = f.k GROUP BY r
+    """,
+}
