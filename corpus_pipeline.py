@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pairwright.llm.common import table
 from pairwright.llm.lines import drop_frequent_lines
 from pairwright.llm.quality import fit_quality_rules, quality_verdicts
+from pairwright.llm.simhash import keep_one
 from pairwright.session import materialize
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -28,9 +29,15 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return dropped.withColumns(changed).select(*docs.columns)
 
 
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of documents whose fingerprints link, the one with the smallest id stays."""
+    return keep_one(docs)
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("quality_rules", quality_stage),
     ("line_dedup", line_stage),
+    ("near_dedup", near_duplicate_stage),
 ]
 
 #: SQL cannot express the learned rules, the fingerprints or the tokenizer; tests compare run() with brute force.
@@ -40,13 +47,6 @@ ORACLE_SQL: str | None = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents table; each stage's result is stored and read again."""
     docs = table(spark, sf_dir, "documents")
-    for name, stage in def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines found in ten documents or more go from every document; ``n_chars`` follows the text."""
-    dropped = drop_frequent_lines(docs, result="_lines")
-    changed = {"text": F.col("_lines.text"), "n_chars": F.length("_lines.text").cast("long")}
-    return dropped.withColumns(changed).select(*docs.columns)
-
-
-STAGES:
+    for name, stage in STAGES:
         docs = materialize(stage(spark, docs, sf_dir), name)
     return docs

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pairwright.llm.common import table
 from pairwright.llm.lines import drop_frequent_lines
 from pairwright.llm.quality import fit_quality_rules, quality_verdicts
+from pairwright.llm.simhash import near_duplicates
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,9 +29,16 @@ def op5_decision_list(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("doc_id", *[F.col("text_counts")[c].alias(c) for c in counts], "base_failed", "kept")
 
 
+def op6_pigeonring(spark: SparkSession, folder: str) -> DataFrame:
+    found = near_duplicates(table(spark, folder, "documents").select("doc_id", "text"))
+    digits = F.lpad(F.lower(F.hex("fp")), 16, "0")
+    return found.select(F.col("key").alias("doc_id"), digits.alias("fingerprint"), F.col("component").alias("component_id"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_line_runs": op2_line_runs,
     "op5_decision_list": op5_decision_list,
+    "op6_pigeonring": op6_pigeonring,
 }
 _SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
