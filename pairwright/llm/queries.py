@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +12,7 @@ from pairwright.llm.common import table
 from pairwright.llm.lines import drop_frequent_lines
 from pairwright.llm.quality import fit_quality_rules, quality_verdicts
 from pairwright.llm.simhash import near_duplicates
+from pairwright.llm.tokens import count_tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +23,11 @@ def op2_line_runs(spark: SparkSession, folder: str) -> DataFrame:
     return docs.select("doc_id", "lines.n_lines", "lines.n_dropped", kept.alias("kept_sha256"))
 
 
+def op4_resynchronised(spark: SparkSession, folder: str) -> DataFrame:
+    counted = count_tokens(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return counted.select(F.col("key").alias("doc_id"), "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"))
+
+
 def op5_decision_list(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     rules = fit_quality_rules(docs, table(spark, folder, "labels"))
@@ -37,6 +44,7 @@ def op6_pigeonring(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_line_runs": op2_line_runs,
+    "op4_resynchronised": op4_resynchronised,
     "op5_decision_list": op5_decision_list,
     "op6_pigeonring": op6_pigeonring,
 }
