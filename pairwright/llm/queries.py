@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from pairwright.llm.common import table
 from pairwright.llm.lines import drop_frequent_lines
+from pairwright.llm.packing import pack
 from pairwright.llm.quality import fit_quality_rules, quality_verdicts
 from pairwright.llm.simhash import near_duplicates
 from pairwright.llm.tokens import count_tokens
@@ -42,11 +43,17 @@ def op6_pigeonring(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(F.col("key").alias("doc_id"), digits.alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+def op9_cutting_stock(spark: SparkSession, folder: str) -> DataFrame:
+    packed = pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return packed.withColumnRenamed("key", "doc_id")
+
+
 QUERIES: dict[str, Query] = {
     "op2_line_runs": op2_line_runs,
     "op4_resynchronised": op4_resynchronised,
     "op5_decision_list": op5_decision_list,
     "op6_pigeonring": op6_pigeonring,
+    "op9_cutting_stock": op9_cutting_stock,
 }
 _SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
