@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairwright.llm.common import table
 from pairwright.llm.lines import drop_frequent_lines
+from pairwright.llm.mixing import mix_sources
+from pairwright.llm.packing import pack
 from pairwright.llm.quality import fit_quality_rules, quality_verdicts
 from pairwright.llm.simhash import keep_one
 from pairwright.session import materialize
@@ -34,10 +37,24 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return keep_one(docs)
 
 
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as many times as the mix takes it, up to three; one that it does not take goes."""
+    mixed = mix_sources(docs, result="_mix").where("_mix.copies > 0")
+    times = F.array_repeat(F.lit(0), F.col("_mix.copies").cast("int"))
+    return mixed.withColumn("_time", F.explode(times)).select(*docs.columns)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents and copies, in sequences of at most 4096 tokens."""
+    return pack(docs, public_tokenizers.path("word_bpe_49k.json")).withColumnRenamed("key", "doc_id")
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("quality_rules", quality_stage),
     ("line_dedup", line_stage),
     ("near_dedup", near_duplicate_stage),
+    ("mixing", mixing_stage),
+    ("packing", packing_stage),
 ]
 
 #: SQL cannot express the learned rules, the fingerprints or the tokenizer; tests compare run() with brute force.

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from pairwright.llm.common import table
 from pairwright.llm.lines import drop_frequent_lines
+from pairwright.llm.mixing import mix_sources
 from pairwright.llm.packing import pack
 from pairwright.llm.quality import fit_quality_rules, quality_verdicts
 from pairwright.llm.simhash import near_duplicates
@@ -24,6 +25,12 @@ def op2_line_runs(spark: SparkSession, folder: str) -> DataFrame:
     return docs.select("doc_id", "lines.n_lines", "lines.n_dropped", kept.alias("kept_sha256"))
 
 
+def op3_flow(spark: SparkSession, folder: str) -> DataFrame:
+    mixed = mix_sources(table(spark, folder, "documents").select("doc_id", "text", "source"))
+    taken = F.col("mix.size") * F.col("mix.copies")
+    return mixed.select("doc_id", "mix.size", "mix.source_size", "mix.target", taken.alias("taken"))
+
+
 def op4_resynchronised(spark: SparkSession, folder: str) -> DataFrame:
     counted = count_tokens(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return counted.select(F.col("key").alias("doc_id"), "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"))
@@ -50,6 +57,7 @@ def op9_cutting_stock(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_line_runs": op2_line_runs,
+    "op3_flow": op3_flow,
     "op4_resynchronised": op4_resynchronised,
     "op5_decision_list": op5_decision_list,
     "op6_pigeonring": op6_pigeonring,
@@ -71,4 +79,33 @@ ORACLE: dict[str, str] = {
                sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE f.k IS NULL), '')) AS kept_sha256
         FROM keyed LEFT JOIN frequent f ON keyed.k = f.k GROUP BY r
     """,
+    "op3_flow": r"""
+        WITH docs AS (
+            SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+                   ('0x' || substr(md5('7:' || coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS place
+            FROM documents
+        ),
+        sums AS (SELECT source, sum(size)::BIGINT AS s FROM docs GROUP BY source),
+        weighed AS (SELECT *, [5.0::DOUBLE, 2.0, 1.0][1 + (row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1) % 3] AS w FROM sums),
+        ranked AS (SELECT *, row_number() OVER (ORDER BY 3 * s / w, w, source NULLS LAST) AS r FROM weighed),
+        levels AS (
+            SELECT *, (sum(s) OVER () - coalesce(sum(3 * s) OVER before, 0))::DOUBLE / sum(w) OVER rest AS level
+            FROM ranked
+            WINDOW before AS (ORDER BY r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+                   rest AS (ORDER BY r ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+        ),
+        final AS (SELECT coalesce(arg_min(level, r) FILTER (WHERE level * w <= 3 * s), 0) AS level FROM levels),
+        targets AS (SELECT source, s, least(3.0 * s, final.level * w) AS target FROM ranked, final),
+        shares AS (SELECT *, CASE WHEN s > 0 THEN floor(target / s)::BIGINT ELSE 0 END AS passes FROM targets),
+        drawn AS (
+            SELECT d.doc_id, d.size, t.s, t.target, t.passes,
+                   sum(d.size) OVER (PARTITION BY d.source ORDER BY d.place) AS upto,
+                   sum(d.size) OVER (PARTITION BY d.source, d.place) AS here
+            FROM docs d JOIN shares t ON d.source IS NOT DISTINCT FROM t.source
+        )
+        SELECT doc_id, size, s AS source_size, target,
+               size * (passes + CASE WHEN target > passes * s AND passes < 3 AND upto - here / 2.0 <= target - passes * s
+                                     THEN 1 ELSE 0 END)::BIGINT AS taken
+        FROM drawn
+    """,
 }
