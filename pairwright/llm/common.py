@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Iterable
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SPACES = " \t\n\r\x0b\x0c"  # \x20 and \x09-\x0D, what bytes.split() without arguments splits at
 WORD = r"[^\x20\x09-\x0D]+"
@@ -41,10 +41,46 @@ def free_name(df: DataFrame, *names: str) -> list[str]:
     return found
 
 
-def span_text(spans: Iterable[tuple[str, int, int]]) -> str:
-    """``kind:start:end`` of each span, comma-joined in the given order."""
-    return ",".join(f"{kind}:{start}:{end}" for kind, start, end in spans)
+SPANS = T.ArrayType(
+    T.StructType(
+        [
+            T.StructField("kind", T.StringType()),
+            T.StructField("start", T.LongType()),
+            T.StructField("end", T.LongType()),
+            T.StructField("base", T.BooleanType()),
+        ]
+    )
+)
 
+Span = tuple[str, int, int]
 
-def sha256(text: str) -> str:
-    return hashlib.sha256(text.encode()).hexdigest()
+
+def span_rows(base: list[Span], added: list[Span], order: Callable[[Span], tuple]) -> list[dict]:
+    """Spans as rows of the ``SPANS`` type, in the given order."""
+    marked = [(s, True) for s in base] + [(s, False) for s in added]
+    return [
+        {"kind": kind, "start": start, "end": end, "base": is_base}
+        for (kind, start, end), is_base in sorted(marked, key=lambda x: order(x[0]))
+    ]
+
+
+def joined_spans(spans: Column) -> Column:
+    """``kind:start:end`` of an array of spans, comma-joined."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+def base_digest(spans: Column) -> Column:
+    return F.sha2(joined_spans(F.filter(spans, lambda s: s["base"])), 256)
+
+
+def base_count(spans: Column, kind: str) -> Column:
+    return F.size(F.filter(spans, lambda s: s["base"] & (s["kind"] == kind))).cast("long")
+
+
+def hash_sample(docs: DataFrame, rows: int, key: str, text: str) -> DataFrame:
+    """About ``rows`` documents at most, chosen by a hash of key and text, to fit a model on."""
+    total = docs.count()
+    if total <= rows:
+        return docs
+    share = int(rows / total * (1 << 31))
+    return docs.where(F.pmod(F.xxhash64(F.col(key), F.col(text), F.lit("sample")), F.lit(1 << 31)) < share)

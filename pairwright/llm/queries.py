@@ -8,11 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairwright.llm.common import table
+from pairwright.llm.common import base_count, base_digest, joined_spans, table
 from pairwright.llm.lines import drop_frequent_lines
 from pairwright.llm.mixing import mix_sources
 from pairwright.llm.packing import pack
 from pairwright.llm.quality import fit_quality_rules, quality_verdicts
+from pairwright.llm.secrets import learn_randomness, scan_secrets
 from pairwright.llm.simhash import near_duplicates
 from pairwright.llm.tokens import count_tokens
 
@@ -50,6 +51,16 @@ def op6_pigeonring(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(F.col("key").alias("doc_id"), digits.alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+def op8_markov(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    spans = F.col("spans")
+    counts = [base_count(spans, kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")]
+    found = scan_secrets(docs, learn_randomness(docs)).select(
+        "doc_id", *counts, base_digest(spans).alias("base_sha256"), joined_spans(spans).alias("spans")
+    )
+    return found
+
+
 def op9_cutting_stock(spark: SparkSession, folder: str) -> DataFrame:
     packed = pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return packed.withColumnRenamed("key", "doc_id")
@@ -61,6 +72,7 @@ QUERIES: dict[str, Query] = {
     "op4_resynchronised": op4_resynchronised,
     "op5_decision_list": op5_decision_list,
     "op6_pigeonring": op6_pigeonring,
+    "op8_markov": op8_markov,
     "op9_cutting_stock": op9_cutting_stock,
 }
 _SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
