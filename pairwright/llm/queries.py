@@ -12,6 +12,7 @@ from pairwright.llm.common import base_count, base_digest, joined_spans, table
 from pairwright.llm.lines import drop_frequent_lines
 from pairwright.llm.mixing import mix_sources
 from pairwright.llm.packing import pack
+from pairwright.llm.pii import learn_field, scan_pii
 from pairwright.llm.quality import fit_quality_rules, quality_verdicts
 from pairwright.llm.secrets import learn_randomness, scan_secrets
 from pairwright.llm.simhash import near_duplicates
@@ -20,6 +21,15 @@ from pairwright.llm.tokens import count_tokens
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_semi_markov(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    spans = F.col("spans")
+    counts = [base_count(spans, kind).alias(f"n_{kind}") for kind in ("email", "ip", "card", "phone")]
+    return scan_pii(docs, learn_field(docs)).select(
+        "doc_id", *counts, base_digest(spans).alias("base_sha256"), joined_spans(spans).alias("spans")
+    )
+
+
 def op2_line_runs(spark: SparkSession, folder: str) -> DataFrame:
     docs = drop_frequent_lines(table(spark, folder, "documents").select("doc_id", "text"))
     kept = F.sha2(F.coalesce(F.col("lines.text"), F.lit("")), 256)
@@ -55,10 +65,9 @@ def op8_markov(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     spans = F.col("spans")
     counts = [base_count(spans, kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")]
-    found = scan_secrets(docs, learn_randomness(docs)).select(
+    return scan_secrets(docs, learn_randomness(docs)).select(
         "doc_id", *counts, base_digest(spans).alias("base_sha256"), joined_spans(spans).alias("spans")
     )
-    return found
 
 
 def op9_cutting_stock(spark: SparkSession, folder: str) -> DataFrame:
@@ -67,6 +76,7 @@ def op9_cutting_stock(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_semi_markov": op1_semi_markov,
     "op2_line_runs": op2_line_runs,
     "op3_flow": op3_flow,
     "op4_resynchronised": op4_resynchronised,
