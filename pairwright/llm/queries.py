@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairwright.llm.common import base_count, base_digest, joined_spans, table
+from pairwright.llm.embeddings import near_vectors
 from pairwright.llm.lines import drop_frequent_lines
 from pairwright.llm.mixing import mix_sources
 from pairwright.llm.packing import pack
@@ -61,6 +62,12 @@ def op6_pigeonring(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(F.col("key").alias("doc_id"), digits.alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+def op7_pigeonhole(spark: SparkSession, folder: str) -> DataFrame:
+    found = near_vectors(table(spark, folder, "embeddings").select("vec_id", "embedding"))
+    kept = F.col("key").eqNullSafe(F.col("component"))
+    return found.select(F.col("key").alias("vec_id"), "n_links", F.col("component").alias("component_id"), kept.alias("kept"))
+
+
 def op8_markov(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     spans = F.col("spans")
@@ -82,6 +89,7 @@ QUERIES: dict[str, Query] = {
     "op4_resynchronised": op4_resynchronised,
     "op5_decision_list": op5_decision_list,
     "op6_pigeonring": op6_pigeonring,
+    "op7_pigeonhole": op7_pigeonhole,
     "op8_markov": op8_markov,
     "op9_cutting_stock": op9_cutting_stock,
 }
