@@ -13,6 +13,7 @@ from pairwright.llm.embeddings import near_vectors
 from pairwright.llm.lines import drop_frequent_lines
 from pairwright.llm.mixing import mix_sources
 from pairwright.llm.packing import pack
+from pairwright.llm.pages import extract_pages, learn_blocks
 from pairwright.llm.pii import learn_field, scan_pii
 from pairwright.llm.quality import fit_quality_rules, quality_verdicts
 from pairwright.llm.secrets import learn_randomness, scan_secrets
@@ -82,6 +83,12 @@ def op9_cutting_stock(spark: SparkSession, folder: str) -> DataFrame:
     return packed.withColumnRenamed("key", "doc_id")
 
 
+def op10_block_field(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
+    found = extract_pages(pages, learn_blocks(pages))
+    return found.select("page_id", "url", "main.text", F.length("main.text").cast("long").alias("n_chars"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_semi_markov": op1_semi_markov,
     "op2_line_runs": op2_line_runs,
@@ -92,6 +99,7 @@ QUERIES: dict[str, Query] = {
     "op7_pigeonhole": op7_pigeonhole,
     "op8_markov": op8_markov,
     "op9_cutting_stock": op9_cutting_stock,
+    "op10_block_field": op10_block_field,
 }
 _SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
