@@ -85,6 +85,14 @@ def near_fingerprints(keys, texts, bits=3):
     return prints, smallest(keys, groups(len(keys), pairs))
 
 
+def one_of_each(keys, texts, bits=3):
+    """The smallest key of each group of near fingerprints."""
+    prints = [fingerprint(t) for t in texts]
+    pairs = [(a, b) for a in range(len(prints)) for b in range(a) if (prints[a] ^ prints[b]).bit_count() <= bits]
+    label = groups(len(keys), pairs)
+    return [smallest(keys, label)[group] for group in sorted(set(label))]
+
+
 def near_vectors(keys, vectors, cosine=0.9):
     """Number of links and component of each vector."""
 

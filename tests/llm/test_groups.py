@@ -1,0 +1,247 @@
+"""Operators across documents: near duplicates, mixing, packing, main text, and the pipeline."""
+
+import struct
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from public_tokenizers import path
+
+import corpus_pipeline
+from pairwright.llm import components, embeddings, mixing, packing, pages, simhash
+from pairwright.llm.queries import ORACLE, QUERIES
+from tests.comparing import difference, duck
+from tests.llm import brute
+from tests.llm.conftest import by_text
+
+FOLDER = "/root/testdata/sf0.001"
+WORDS = path("word_bpe_49k.json")
+
+
+def hexed(fp):
+    return fp % (1 << 64)
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_query_equals_sql(spark, name):
+    assert difference(QUERIES[name](spark, FOLDER), duck(FOLDER), ORACLE[name]) is None
+
+
+def test_near_duplicates_on_edges(edge_docs, edge_rows, no_docs):
+    keys, texts = [r[0] for r in edge_rows], [r[1] for r in edge_rows]
+    prints, components_ = brute.near_fingerprints(keys, texts)
+    got = [(r.key, hexed(r.fp), r.component) for r in simhash.near_duplicates(edge_docs).collect()]
+    assert by_text(got) == by_text(zip(keys, prints, components_))
+    assert simhash.near_duplicates(no_docs).count() == 0
+
+
+def test_one_of_each_group_stays(edge_docs, edge_rows, no_docs):
+    kept = simhash.keep_one(edge_docs)
+    assert kept.columns == edge_docs.columns
+    rows = [r.doc_id for r in kept.collect()]
+    assert sorted(rows) == sorted(brute.one_of_each([r[0] for r in edge_rows], [r[1] for r in edge_rows]))
+    assert simhash.keep_one(no_docs).count() == 0
+
+
+def test_links_of_fingerprints_are_complete(spark):
+    draw = np.random.default_rng(5)
+    prints = set()
+    for center in draw.integers(-(1 << 63), 1 << 63, 40):
+        for _ in range(12):
+            flips = sum(1 << int(b) for b in draw.choice(64, draw.integers(0, 5), replace=False))
+            prints.add(int(np.int64(np.uint64((int(center) ^ flips) % (1 << 64)))))
+    prints |= {0, 7, -1, -8}
+    listed = sorted(prints)
+    frame = spark.createDataFrame([(p,) for p in listed], "fp long")
+    want = {(a, b) for a in listed for b in listed if a < b and hexed(a ^ b).bit_count() <= 3}
+    got = [tuple(r) for r in simhash.fingerprint_links(frame).collect()]
+    assert len(got) == len(set(got)) and set(got) == want and len(want) > 500
+    wide = {(a, b) for a in listed for b in listed if a < b and hexed(a ^ b).bit_count() <= 5}
+    assert {tuple(r) for r in simhash.fingerprint_links(frame, 5, 4).collect()} == wide
+
+
+def test_components_of_chains_and_stars(spark):
+    links = [(i, i + 1) for i in range(60)] + [(100, i) for i in range(101, 140)] + [(7, 7), (200, 199), (199, 200)]
+    frame = spark.createDataFrame(links, "a long, b long")
+    got = {r.node: r.root for r in components.component_roots(frame).collect()}
+    want = {i: 0 for i in range(61)} | {i: 100 for i in range(100, 140)} | {199: 199, 200: 199}
+    assert got == want
+    assert components.component_roots(frame.where("a < 0")).count() == 0
+
+
+@pytest.mark.parametrize("part_rows", [8192, 16])
+def test_near_vectors_equal_plain_ones(spark, part_rows):
+    draw = np.random.default_rng(3)
+    base = draw.standard_normal((20, 16))
+    rows = [(k, [float(np.float32(x)) for x in base[k % 20] + draw.standard_normal(16) * draw.choice([0.05, 0.33])]) for k in range(160)]
+    same = rows[5][1]
+    rows += [(200, None), (201, []), (202, [0.0] * 16), (203, [float("nan")] * 16), (204, same), (205, same), (205, same)]
+    rows += [(None, rows[7][1]), (206, [1.0, 2.0]), (207, [2.0, 4.0]), (208, [None] + [1.0] * 15), (None, None), (3, [-x for x in same])]
+    frame = spark.createDataFrame([(*r, "x") for r in rows], "vec_id long, embedding array<float>, v string")
+    links, component = brute.near_vectors([r[0] for r in rows], [r[1] for r in rows])
+    got = [tuple(r) for r in embeddings.near_vectors(frame, part_rows=part_rows).collect()]
+    assert by_text(got) == by_text(zip([r[0] for r in rows], links, component))
+    assert embeddings.near_vectors(frame.limit(0)).count() == 0
+
+
+def test_flow_meets_quotas_with_few_repeats():
+    sizes = {frozenset("a"): 10.0, frozenset("ab"): 100.0, frozenset("b"): 100.0}
+    taken = mixing.pattern_flow(sizes, {"a": 150.0, "b": 100.0})
+    assert sum(taken.values()) == pytest.approx(250)
+    assert all(taken[p] <= 3 * sizes[p] for p in sizes)
+    assert all(taken[p] >= sizes[p] for p in sizes)  # nobody is repeated before all are used
+    assert mixing.source_targets({"a": 10, "b": 100, None: 1000}) == {"a": 30.0, "b": 300.0, None: 780.0}
+    assert mixing.source_targets({"a": 0, None: 0}) == {"a": 0.0, None: 0.0}
+
+
+def test_mix_comes_near_its_targets(spark, edge_docs, edge_rows, no_docs):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    rows = mixing.mix_sources(docs.drop("size")).select("source", "mix.*").collect()
+    largest = Counter()
+    taken, target = Counter(), {}
+    for r in rows:
+        assert 0 <= r.copies <= 3
+        taken[r.source] += r.size * r.copies
+        target[r.source] = r.target
+        largest[r.source] = max(largest[r.source], r.size)
+    assert all(abs(taken[s] - target[s]) <= largest[s] / 2 + 1 for s in target)
+    again = mixing.mix_sources(docs.repartition(5)).select("source", "mix.*").collect()
+    assert by_text(map(tuple, rows)) == by_text(map(tuple, again))
+    edges = mixing.mix_sources(edge_docs.drop("mix"))
+    assert edges.count() == len(edge_rows)
+    for r in edges.select("text", "mix.size").collect():
+        assert r.size == len(brute.words(r.text))
+    assert mixing.mix_sources(no_docs).count() == 0
+
+
+def test_plans_hold_every_piece_once():
+    draw = np.random.default_rng(2)
+    for histogram in ({}, {512: 3}, {1: 5}, {300: 7, 212: 9, 100: 1}, Counter(draw.integers(1, 513, 900).tolist())):
+        places = packing.plan_sequences(dict(histogram), 512)
+        filled, counted = Counter(), Counter()
+        for p in places:
+            counted[p.size] += p.high - p.low
+            for rank in range(p.high - p.low):
+                filled[p.sequence + rank // p.each] += p.size
+        assert counted == Counter(histogram)
+        assert all(n <= 512 for n in filled.values())
+        assert sorted(filled) == list(range(len(filled)))
+    total = sum(s * n for s, n in histogram.items())
+    assert len(filled) <= total / 512 * 1.02 + 1
+
+
+def check_pack(rows, texts):
+    """Pieces cover each text's ids once; sequences have no gaps and are not too long."""
+    tokenizer = packing.load_tokenizer(WORDS)
+    want = Counter()
+    for key, text in texts:
+        ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 2]
+        for at in range(0, len(ids), 4096):
+            part = ids[at : at + 4096]
+            want[key, at, len(part), zlib.crc32(struct.pack(f"<{len(part)}I", *part)), len(ids)] += 1
+    assert Counter((r[0], r.start, r.length, r.ids_crc32, r.doc_tokens) for r in rows) == want
+    sequences: dict = {}
+    for r in rows:
+        sequences.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for pieces in sequences.values():
+        at = 0
+        for offset, length in sorted(pieces):
+            assert offset == at
+            at += length
+        assert at <= 4096
+
+
+def test_packing_on_edges(edge_docs, edge_rows, no_docs):
+    rows = packing.pack(edge_docs, WORDS).collect()
+    check_pack(rows, [(k, t) for k, t, _ in edge_rows])
+    assert packing.pack(no_docs, WORDS).count() == 0
+
+
+def test_packing_wastes_little(spark):
+    rows = packing.pack(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), WORDS).collect()
+    used = sum(r.length for r in rows)
+    assert used / (4096 * len({r.sequence_id for r in rows})) > 0.98
+
+
+def test_words_are_read_as_by_the_library():
+    ids, tokenizer = packing.WordIds(WORDS), packing.load_tokenizer(WORDS)
+    texts = ["ÀÉÎ Ÿ ẞtraße İstanbul ΣΑΣ ſ K", "foo<|endoftext|>bar <|endoftext|>", "'s 't ''s x's don't", "áb é́ ́x", "½ ² ª º × ÷", "x　y z", "日本 ١٢٣ 12,5", ""]
+    for text in texts:
+        whole = tokenizer.encode(text, add_special_tokens=False).ids
+        assert ids(text) == struct.pack(f"<{len(whole)}I", *whole)
+
+
+PAGE = """<html><head><title>x</title><style>p{}</style></head><body><header><h1>Site name</h1></header>
+<nav><ul><li><a href=1>Home</a><li><a href=2>About us</a></ul></nav><div class="cookie-notice">We use cookies. Accept, please.</div>
+<article><h1>Great news today</h1><p>The quick brown fox jumps&nbsp;over &lt;the&gt; lazy
+   dog, and then it sleeps.<p>Short.<br>Line</p><ul><li>one item here<li>another item, longer than the first</ul></article>
+<aside class="sidebar"><p>Related: read this other story, it is great.</p></aside><script>var a = "</p><p>no";</script><!-- <p>no</p> -->
+<section class="comments"><div class="comment"><p>I liked this a lot, thanks.</p></div></section><form><p>Subscribe</p></form><footer>&copy; 2020</footer>"""
+MAIN = "Great news today\nThe quick brown fox jumps over <the> lazy dog, and then it sleeps.\nShort. Line\none item here\nanother item, longer than the first"
+
+
+def test_main_text_of_pages(spark):
+    given = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    field = pages.learn_blocks(given)
+    odd = [(1, PAGE), (2, PAGE.replace("<article>", '<div id="content">').replace("</article>", "</div>")), (3, None), (4, ""), (5, "<p"), (5, "<" * 5000 + "&#xFFFFFFFF; <a b='"), (None, PAGE)]
+    frame = spark.createDataFrame([(*r, "m") for r in odd], "page_id long, html string, text string")
+    got = pages.extract_pages(frame, field).select("page_id", "main.text").collect()
+    assert [r.text for r in got if r.page_id in (1, 2, None)] == [MAIN] * 3
+    assert all(r.text is not None for r in got) and {r.text for r in got if r.page_id in (3, 4)} == {""}
+    wrong = rows = 0
+    for row in pages.extract_pages(given.where("page_id % 2 = 1"), field).collect():
+        labels = pages.named_labels(pages.leaf_blocks(row.html))
+        want = "\n".join(b.text for b, x in zip(pages.leaf_blocks(row.html), labels) if x)
+        wrong += want != row.main.text
+        rows += 1
+    assert wrong <= rows / 100
+    none = pages.learn_blocks(frame.where("page_id = 4"))
+    assert pages.extract_pages(frame.limit(0), none).count() == 0
+
+
+def test_viterbi_is_the_best_of_all():
+    draw = np.random.default_rng(4)
+    field = pages.BlockField(draw.normal(size=(pages.BUCKETS, 2)), draw.normal(size=(2, 2)), draw.normal(size=2))
+    blocks = pages.leaf_blocks(PAGE)[:9]
+    scores = field.scores(pages.block_features(blocks))
+
+    def value(labels):
+        total = field.start[labels[0]] + sum(scores[i, x] for i, x in enumerate(labels))
+        return total + sum(field.moves[a, b] for a, b in zip(labels, labels[1:]))
+
+    every = [[n >> i & 1 for i in range(len(blocks))] for n in range(1 << len(blocks))]
+    assert value(field.decode(blocks)) == pytest.approx(max(map(value, every)))
+
+
+def test_pipeline_stages_equal_plain_versions(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    columns = docs.columns
+    results = []
+    for name, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, FOLDER).cache()
+        results.append((name, docs))
+        if name != "packing":
+            assert docs.columns == columns
+    frames = dict(results)
+    rows = {name: [(r.doc_id, r.text) for r in frame.collect()] for name, frame in results if name != "packing"}
+    dropped = brute.lines_dropped([t for _, t in rows["quality_rules"]])
+    assert by_text(rows["line_dedup"]) == by_text((k, x[2]) for (k, _), x in zip(rows["quality_rules"], dropped))
+    keys, texts = zip(*rows["line_dedup"])
+    assert {k for k, _ in rows["near_dedup"]} == set(brute.near_fingerprints(keys, texts)[1])
+    assert len(rows["near_dedup"]) == len({k for k, _ in rows["near_dedup"]})
+    copies = Counter(k for k, _ in rows["mixing"])
+    assert set(copies) <= {k for k, _ in rows["near_dedup"]} and max(copies.values()) <= 3
+    check_pack(frames["packing"].collect(), rows["mixing"])
+    good = {r.doc_id for r in spark.read.parquet(f"{FOLDER}/labels.parquet").where("quality = 1").collect()}
+    whole = spark.read.parquet(f"{FOLDER}/documents.parquet").collect()
+    clean = {r.doc_id for r in whole if r.doc_id in good and len(brute.words(r.text)) >= 10 and 5 * brute.quality_counts(r.text)[4] <= len(brute.words(r.text))}
+    kept = {k for k, _ in rows["quality_rules"]}
+    assert len(clean & kept) >= 0.97 * len(clean)
+
+
+def test_pipeline_on_edges(spark, edge_docs, tmp_path):
+    labels = spark.createDataFrame([(4, 1, 0)], "doc_id long, quality int, toxic int")
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    edge_docs.withColumn("n_chars", edge_docs["doc_id"]).write.parquet(str(tmp_path / "documents.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() > 0
