@@ -11,22 +11,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pairwright.operators.joins import MAX_TASKS
 from pairwright.operators.keys import attach_ids, dense_ids
-from pairwright.operators.ranking import top_n
+from pairwright.operators.ranking import ranked_top
+from pairwright.session import materialize
 
 MAX_ID = 2**31 - 1  # ALS ids are 32-bit
 USER_ID, ITEM_ID = "unique_user_id", "unique_item_id"
 ALL_CELL = (1024, 2048)  # users and items of one block when every positive score is kept
-TOP_CELL = (4096, 4096)  # the same when only the top scores leave the block
+TOP_CELL = (4096, 262_144)  # the same when only the top scores leave the block
+CHUNK_ITEMS = 4096  # items of a block that are scored at a time
 
 
 def index_log(
-    log: DataFrame, user: str, item: str, min_hot_rows: int | None = None
+    log: DataFrame, user: str, item: str
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Action log with dense user and item ids, and the two id tables. Rows with a null key are dropped."""
     user_ids, item_ids = dense_ids(log, user, USER_ID), dense_ids(log, item, ITEM_ID)
-    indexed = attach_ids(log, {user: user_ids, item: item_ids}, min_hot_rows)
+    indexed = attach_ids(log, {user: user_ids, item: item_ids})
     return indexed.select(*log.columns, USER_ID, ITEM_ID), user_ids, item_ids
 
 
@@ -37,16 +38,19 @@ def fit_als(
     max_iter: int = 10,
     implicit_prefs: bool = True,
     alpha: float = 1.0,
-    user_blocks: int = 10,
-    item_blocks: int = 10,
+    user_blocks: int | None = None,
+    item_blocks: int | None = None,
     seed: int = 42,
     combine: str | None = None,
 ) -> ALSModel:
     """Fit ALS on an indexed log. Ids beyond 32 bits are refused, not wrapped.
 
     Repeated (user, item) rows count one by one. ``combine`` ('sum', 'max', 'min' or 'avg') makes them one rating first:
-    ALS keeps all ratings of a user in one block, so use it where a user repeats the same items very often.
+    ALS keeps all ratings of a user in one block, so use it where a user repeats the same items very often. Blocks are as
+    many as the cluster runs tasks at a time unless given.
     """
+    parallel = indexed.sparkSession.sparkContext.defaultParallelism
+    user_blocks, item_blocks = user_blocks or parallel, item_blocks or parallel
     for name, value in {"rank": rank, "max_iter": max_iter, "user_blocks": user_blocks, "item_blocks": item_blocks}.items():
         if isinstance(value, bool) or not isinstance(value, int) or value < 1:
             raise ValueError(f"{name} must be a positive integer, not {value!r}")
@@ -92,14 +96,17 @@ def _block_scorer(user: str, item: str, score: str, limit: int) -> Callable[[pd.
             left = np.stack(users["_factors"].to_numpy()).astype(np.float64)
             right = np.stack(items["_factors"].to_numpy()).astype(np.float64).T
             for start in range(0, len(left), 256):
-                scores = (left[start : start + 256] @ right).astype(np.float32)
-                keep = scores > 0
-                if limit > 0:
-                    keep &= scores >= nth_distinct(scores, limit)
-                row, col = np.nonzero(keep)
-                rows.append(start + row)
-                cols.append(col)
-                kept.append(scores[row, col])
+                low = np.full((len(left[start : start + 256]), 1), -np.inf, np.float32)
+                for first in range(0, right.shape[1], CHUNK_ITEMS):
+                    scores = (left[start : start + 256] @ right[:, first : first + CHUNK_ITEMS]).astype(np.float32)
+                    keep = scores > 0
+                    if limit > 0:  # what some items already exclude cannot be in the top of all
+                        low = np.maximum(low, nth_distinct(scores, limit))
+                        keep &= scores >= low
+                    row, col = np.nonzero(keep)
+                    rows.append(start + row)
+                    cols.append(first + col)
+                    kept.append(scores[row, col])
         columns = {user: user_names[np.concatenate(rows)], item: item_names[np.concatenate(cols)], score: np.concatenate(kept)}
         return pd.DataFrame({name: pd.Series(column, dtype=column.dtype) for name, column in columns.items()})
 
@@ -137,26 +144,25 @@ def score_lists(
     ``users`` and ``items`` are one-column lists (a repeated id counts once); ``user_ids`` and ``item_ids`` hold the key
     and its dense id. With a positive ``limit``, only rows within each user's ``limit`` highest distinct scores.
 
-    Factors are cut into blocks of consecutive ids, so a block cannot exceed its size. Each block of users meets each
-    block of items in one task as a matrix product. The rows that move are factors, never scored pairs.
+    The factors of the listed known ids are stored and counted, and cut into blocks by a hash, about as large as ``cell``
+    says. Each block of users meets each block of items in one task as a matrix product, some thousand items at a time with
+    a running limit. The rows that move are factors, never scored pairs, and their copies follow the lists, not all ids.
     """
     user_cell, item_cell = cell or (TOP_CELL if limit > 0 else ALL_CELL)
 
-    def factors(names: DataFrame, ids: DataFrame, id_col: str, table: DataFrame, name: str, size: int, block: str):
+    def factors(names: DataFrame, ids: DataFrame, id_col: str, table: DataFrame, name: str) -> DataFrame:
         key = next(c for c in ids.columns if c != id_col)
         return (
             names.select(F.col(names.columns[0]).alias(name))
             .distinct()
             .join(ids.select(F.col(key).alias(name), F.col(id_col).cast("int").alias("id")), name)
             .join(table, "id")
-            .select(name, F.col("features").alias("_factors"), F.expr(f"id div {size}").cast("int").alias(block))
+            .select(name, "id", F.col("features").alias("_factors"))
         )
 
-    left = factors(users, user_ids, USER_ID, model.userFactors, "user_id", user_cell, "_row")
-    right = factors(items, item_ids, ITEM_ID, model.itemFactors, "item_id", item_cell, "_col")
-    last_row = user_ids.agg(F.max(USER_ID)).first()[0]
-    last_col = item_ids.agg(F.max(ITEM_ID)).first()[0]
-    rows, cols = (-1 if last is None else last // size for last, size in ((last_row, user_cell), (last_col, item_cell)))
+    left = materialize(factors(users, user_ids, USER_ID, model.userFactors, "user_id"), "user-factors")
+    right = materialize(factors(items, item_ids, ITEM_ID, model.itemFactors, "item_id"), "item-factors")
+    rows, cols = (-(-frame.count() // size) for frame, size in ((left, user_cell), (right, item_cell)))
     schema = T.StructType(
         [
             T.StructField("user_id", left.schema["user_id"].dataType),
@@ -164,14 +170,18 @@ def score_lists(
             T.StructField("prediction", T.FloatType()),
         ]
     )
-    if rows < 0 or cols < 0:
+    if not rows or not cols:
         return left.sparkSession.createDataFrame([], schema)
-    tasks = min(MAX_TASKS, (rows + 1) * (cols + 1))
-    left = left.withColumn("_col", F.explode(F.sequence(F.lit(0), F.lit(cols)))).repartition(tasks, "_row", "_col")
-    right = right.withColumn("_row", F.explode(F.sequence(F.lit(0), F.lit(rows)))).repartition(tasks, "_row", "_col")
+
+    def blocks(frame: DataFrame, own: str, count: int, other: str, others: int) -> DataFrame:
+        placed = frame.withColumn(own, F.pmod(F.xxhash64("id"), F.lit(count)).cast("int")).drop("id")
+        repeated = placed.withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(others - 1))))
+        return repeated.repartition(rows * cols, "_row", "_col")
+
     scored = (
-        left.groupBy("_row", "_col")
-        .cogroup(right.groupBy("_row", "_col"))
+        blocks(left, "_row", rows, "_col", cols)
+        .groupBy("_row", "_col")
+        .cogroup(blocks(right, "_col", cols, "_row", rows).groupBy("_row", "_col"))
         .applyInPandas(_block_scorer("user_id", "item_id", "prediction", limit), schema)
     )
-    return top_n(scored, "user_id", "prediction", limit, hot=[]) if limit > 0 else scored
+    return ranked_top(scored, "user_id", "prediction", limit) if limit > 0 else scored

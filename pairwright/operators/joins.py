@@ -1,26 +1,23 @@
-"""Equi-joins that choose their plan from measured sizes and spread hot keys.
+"""Equi-joins that choose their plan from measured sizes.
 
-Every check returns a bounded answer: a few totals, or at most ``HOT_LIMIT`` keys. A wrong guess can only cost time:
-salting never changes which rows meet.
+Hot keys of joins onto one row per key are left to Spark's adaptive skew handling, which cuts every partition that turns
+out too large, with no search beforehand. Keys that repeat on both sides are cut into a grid of cells, all that need it.
 """
 
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-HOT_LIMIT = 512  # keys that are split; any other key holds less than 1/HOT_LIMIT of the rows
-SKETCH_SIZE = 16384  # values a heavy-hitter sketch keeps
-HOT_MIN_ROWS = 2_000_000  # a key with fewer rows is no problem for one task
+from pairwright.session import materialize
+
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 << 20
 CELL_ROWS = 4096  # rows per side of one cell of a split many-to-many key
 PAIRS_PER_TASK = 4_000_000
-MAX_TASKS = 20_000  # beyond this, tasks take more pairs instead: they stream, so memory does not grow
 
 
 def _row_bytes(df: DataFrame) -> Column:
@@ -51,36 +48,6 @@ def _bytes_fit(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
     return (df.agg(F.sum(_row_bytes(df))).first()[0] or 0) <= max_bytes
 
 
-@dataclass(frozen=True)
-class HotKey:
-    """Hash of a hot join key and the number of tasks its rows are spread over."""
-
-    key_hash: int
-    splits: int
-
-
-def hot_keys(df: DataFrame, *keys: list[str], min_rows: int | None = None) -> list[list[HotKey]]:
-    """Per given key, its values that hold too many rows for one task; found in one pass for all keys.
-
-    No shuffle of the keys: each task sends one mergeable heavy-hitter sketch per key. A sketch finds every value above
-    1/HOT_LIMIT of the rows. Null is a value here too, since outer joins and windows send all its rows to one task.
-    """
-    min_rows = HOT_MIN_ROWS if min_rows is None else min_rows
-    found = (
-        df.select(*[F.xxhash64(*on).alias(f"key_{i}") for i, on in enumerate(keys)])
-        .agg(
-            F.count(F.lit(1)).alias("rows"),
-            *[F.expr(f"approx_top_k(key_{i}, {HOT_LIMIT}, {SKETCH_SIZE})").alias(f"top_{i}") for i in range(len(keys))],
-        )
-        .first()
-    )
-    bound = max(min_rows, found["rows"] // (8 * HOT_LIMIT), 1)
-    return [
-        [HotKey(t["item"], math.ceil(t["count"] / bound)) for t in found[f"top_{i}"] if t["count"] > bound]
-        for i in range(len(keys))
-    ]
-
-
 def _spread(df: DataFrame, by: list[str] | None = None) -> Column:
     """Number that varies over rows and copies of a row, and is the same when a task is run again.
 
@@ -92,38 +59,6 @@ def _spread(df: DataFrame, by: list[str] | None = None) -> Column:
     return F.xxhash64(*[F.col(f"`{c}`") for c in hashable], F.spark_partition_id())
 
 
-def salted_join(
-    left: DataFrame, right: DataFrame, on: list[str], how: str = "inner", hot: list[HotKey] | None = None
-) -> DataFrame:
-    """Join whose hot left keys are spread over several tasks; the right rows of those keys are repeated for each.
-
-    Right for ``inner``, ``left``, ``left_semi`` and ``left_anti``: every left row goes to exactly one task.
-    """
-    if how not in ("inner", "left", "left_semi", "left_anti"):
-        raise ValueError(f"join type {how!r} is not supported")
-    types = [(left.schema[c].dataType, right.schema[c].dataType) for c in on]
-    if any(a != b for a, b in types):
-        raise ValueError(f"key types differ: {types}")
-    if not hot:
-        return left.join(right, on, how)
-    table = left.sparkSession.createDataFrame(
-        [(h.key_hash, h.splits) for h in hot], "_key_hash long, _splits int"
-    )  # at most HOT_LIMIT rows
-    salted = (
-        left.withColumns({"_key_hash": F.xxhash64(*on), "_spread": _spread(left)})
-        .join(F.broadcast(table), "_key_hash", "left")
-        .withColumn("_salt", F.pmod("_spread", F.coalesce("_splits", F.lit(1))).cast("int"))
-        .drop("_key_hash", "_spread", "_splits")
-    )
-    repeated = (
-        right.withColumn("_key_hash", F.xxhash64(*on))
-        .join(F.broadcast(table), "_key_hash", "left")
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_splits", F.lit(1)) - 1)))
-        .drop("_key_hash", "_splits")
-    )
-    return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
-
-
 def pair_join(
     left: DataFrame,
     right: DataFrame,
@@ -136,40 +71,39 @@ def pair_join(
 ) -> DataFrame:
     """Inner many-to-many join sized by its result. ``left_by`` and ``right_by`` are columns to spread rows by.
 
-    Key counts (pre-aggregated) give the exact number of result rows, hence the number of tasks. A small right side is
-    broadcast and the left rows are spread evenly. Otherwise a key with many pairs becomes a grid: its left rows are
-    hashed to grid rows and its right rows to grid columns, each is repeated along the other axis, and every pair meets
-    in exactly one cell.
+    Both sides are counted per key once, pre-aggregated, and the counts are stored: they give the exact number of result
+    rows, hence of tasks, and the grid. A small right side is broadcast and the left rows are spread evenly. Otherwise
+    every key with many pairs becomes a grid: its left rows are hashed to grid rows and its right rows to grid columns,
+    each is repeated along the other axis, and every pair meets in exactly one cell.
     """
     spark = left.sparkSession
     one, none = F.lit(1), F.lit(0)
-    sides = left.select(*on, one.alias("l"), none.alias("r")).unionByName(right.select(*on, none.alias("l"), one.alias("r")))
-    counts = sides.groupBy(*on).agg(F.sum("l").alias("l"), F.sum("r").alias("r"))
+    sides = left.select(*on, one.alias("l"), none.alias("r"), none.cast("long").alias("b")).unionByName(
+        right.select(*on, none.alias("l"), one.alias("r"), _row_bytes(right).alias("b"))
+    )
+    counted = sides.groupBy(*on).agg(F.sum("l").alias("l"), F.sum("r").alias("r"), F.sum("b").alias("b"))
+    counts = materialize(counted, "pair-counts")
     pairs = F.col("l").cast("double") * F.col("r")
-    totals = counts.agg(F.sum(pairs).alias("pairs"), F.sum("r").alias("right_rows")).first()
-    total, right_rows = totals["pairs"] or 0.0, totals["right_rows"] or 0
-    tasks = int(min(MAX_TASKS, max(math.ceil(total / pairs_per_task), spark.sparkContext.defaultParallelism)))
-    if right_rows <= max_rows and _bytes_fit(right):
+    axes = {"_rows": F.ceil(F.col("l") / cell_rows), "_cols": F.ceil(F.col("r") / cell_rows)}
+    cut = (axes["_rows"] * axes["_cols"] > 1) & (pairs > pairs_per_task)
+    totals = counts.agg(
+        F.sum(pairs).alias("pairs"), F.sum("r").alias("rows"), F.sum("b").alias("bytes"), F.sum(cut.cast("long")).alias("cut")
+    ).first()
+    tasks = max(math.ceil((totals["pairs"] or 0.0) / pairs_per_task), spark.sparkContext.defaultParallelism)
+    if (totals["rows"] or 0) <= max_rows and (totals["bytes"] or 0) <= BROADCAST_BYTES:
         spread = left.withColumn("_spread", _spread(left, left_by and [*on, *left_by]))
         return spread.repartition(tasks, "_spread").drop("_spread").join(F.broadcast(right), on)
-    axes = {"_rows": F.ceil(F.col("l") / cell_rows), "_cols": F.ceil(F.col("r") / cell_rows)}
-    split = (
-        counts.select(*on, *[n.cast("int").alias(a) for a, n in axes.items()], pairs.alias("_pairs"))
-        .where((F.col("_rows") * F.col("_cols") > 1) & (F.col("_pairs") > pairs_per_task))
-        .orderBy(F.desc("_pairs"))
-        .limit(2 * HOT_LIMIT)
-        .drop("_pairs")
-    )
-    hot = split.collect()  # at most 2 * HOT_LIMIT rows
-    if not hot:
+    if not totals["cut"]:
         return left.repartition(tasks, *on).join(right.repartition(tasks, *on), on)
-    grid = spark.createDataFrame(hot, split.schema)
+    grid = counts.where(cut).select(*on, *[n.cast("int").alias(a) for a, n in axes.items()])
+    if totals["cut"] <= BROADCAST_ROWS:
+        grid = F.broadcast(grid)
     cells = [*on, "_row", "_col"]
 
     def to_cells(df: DataFrame, own: str, other: str, by: list[str] | None) -> DataFrame:
         return (
             df.withColumn("_spread", _spread(df, by and [*on, *by]))
-            .join(F.broadcast(grid), on, "left")
+            .join(grid, on, "left")
             .withColumn(own, F.pmod("_spread", F.coalesce(f"{own}s", F.lit(1))).cast("int"))
             .withColumn(other, F.explode(F.sequence(F.lit(0), F.coalesce(f"{other}s", F.lit(1)) - 1)))
             .drop("_spread", "_rows", "_cols")
@@ -185,24 +119,15 @@ def lookup_join(
     on: list[str],
     how: str = "left",
     max_rows: int = BROADCAST_ROWS,
-    min_hot_rows: int | None = None,
     measure: DataFrame | None = None,
 ) -> DataFrame:
-    """Attach a lookup table: broadcast when it is measured to be small, otherwise a join with hot keys spread.
+    """Attach a lookup table: broadcast when it is measured to be small, otherwise a join that adaptive skew handling cuts.
 
-    A table that repeats a key very often is joined as a grid of cells; left rows without a partner are added to that.
     ``measure`` is a frame that ``right`` cannot exceed and that is cheaper to measure, such as its input.
     """
     if fits_broadcast(right if measure is None else measure, max_rows):
-        return left.join(F.broadcast(right), on, how)
-    [hot] = hot_keys(left, on, min_rows=min_hot_rows)
-    if how in ("inner", "left") and hot_keys(right, on, min_rows=min_hot_rows)[0]:
-        matched = pair_join(left, right, on, max_rows=0)
-        if how == "inner":
-            return matched
-        alone = salted_join(left, right.select(*on).distinct(), on, "left_anti", hot)
-        return matched.unionByName(alone, allowMissingColumns=True)
-    return salted_join(left, right, on, how, hot)
+        right = F.broadcast(right)
+    return left.join(right, on, how)
 
 
 def all_pairs(
@@ -216,7 +141,7 @@ def all_pairs(
     """
     rows = max(1, math.ceil(left.count() / left_cell))
     cols = max(1, math.ceil(right.count() / right_cell))
-    tasks = max(1, min(MAX_TASKS, rows * cols))
+    tasks = rows * cols
 
     def to_cells(df: DataFrame, own: str, own_size: int, other: str, other_size: int) -> DataFrame:
         return (

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pairwright.operators.joins import _spread, hot_keys, lookup_join, salted_join
+from pairwright.operators.joins import _spread, lookup_join
 from pairwright.session import materialize
 
 POSITION_BITS = 33  # monotonically_increasing_id() keeps the position within its partition in the low 33 bits
@@ -54,14 +54,13 @@ def dense_ids(df: DataFrame, key: str, id_col: str, digits: int = 3) -> DataFram
     )
 
 
-def attach_ids(df: DataFrame, ids: dict[str, DataFrame], min_hot_rows: int | None = None) -> DataFrame:
+def attach_ids(df: DataFrame, ids: dict[str, DataFrame]) -> DataFrame:
     """Inner joins that add the ids of key columns; rows with a null or unknown key are dropped.
 
-    Id tables grow with the data, so nothing is broadcast by hand; hot keys of the log are spread.
+    Id tables grow with the data, so nothing is broadcast by hand; adaptive skew handling cuts hot keys of the log.
     """
-    hot = hot_keys(df, *[[key] for key in ids], min_rows=min_hot_rows)
-    for (key, table), hot_values in zip(ids.items(), hot):
-        df = salted_join(df, table, [key], "inner", hot_values)
+    for key, table in ids.items():
+        df = df.join(table, key)
     return df
 
 

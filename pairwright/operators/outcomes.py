@@ -8,8 +8,6 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairwright.operators.joins import hot_keys, salted_join
-
 CHUNK = 4096
 
 
@@ -40,7 +38,6 @@ def outcome_flags(
     facts: list[Fact],
     copies: str = "copies",
     distinct: bool = False,
-    min_hot_rows: int | None = None,
 ) -> DataFrame:
     """Add a '1'/'0' flag per fact, and the number of rows that left joins to the fact tables would have made.
 
@@ -51,9 +48,8 @@ def outcome_flags(
     for fact in facts:
         groups.setdefault(tuple(sorted(ours for ours, _ in fact.keys)), []).append(fact)
     joined = pairs
-    hot = hot_keys(pairs, *map(list, groups), min_rows=min_hot_rows)
-    for (on, members), hot_values in zip(groups.items(), hot):
-        joined = salted_join(joined, _fact_counts(members, list(on)), list(on), "left", hot_values)
+    for on, members in groups.items():
+        joined = joined.join(_fact_counts(members, list(on)), list(on), "left")
     factor = F.lit(1).cast("long")
     if not distinct:
         for fact in facts:

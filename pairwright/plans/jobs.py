@@ -25,7 +25,6 @@ from pairwright.operators.funnel import (
     funnel_counts,
     requirement_code,
 )
-from pairwright.operators.joins import lookup_join
 from pairwright.operators.keys import row_ids
 from pairwright.operators.lookup import dim_lookup, extract_mapping, facts_for_keys
 from pairwright.operators.outcomes import Fact, outcome_flags
@@ -128,24 +127,24 @@ def scored_outcomes(
     distinct_facts: bool = False,
 ) -> DataFrame:
     """Predictions with outcome flags and the item's category, area and requirement."""
-    mapped = lookup_join(
-        fill_numeric(predictions), mapping.withColumnRenamed("mapping_aodrno", "predicted_aodrno"), ["predicted_aodrno"]
-    )
     item_user = ("mapping_aodrid", "predicted_wsfid")
     facts = [
         Fact("passed", passed, tuple(zip(item_user, ("passed_aodrid", "passed_astfid")))),
         Fact("mailed", mailed, (("mapping_wjoid", "scout_mail_wjoid"), ("predicted_wsfid", "scout_mail_wsfid"))),
         Fact("applied", applied, tuple(zip(item_user, ("applied_aodrid", "applied_astfid")))),
     ]
-    flagged = outcome_flags(mapped, facts, distinct=distinct_facts)
     attributes = items.select(
         F.col("i_aodrno").alias("predicted_aodrno"),
         F.col("i_assyulid").alias("category"),
         area_code(F.col("i_atdfkid")).alias("area"),
         requirement_code(F.col("i_must_assyulid")).alias("requirement"),
     )
+    # Mapping and attributes have the same key: the two small tables meet first, so predictions join once and are read once.
+    named = mapping.withColumnRenamed("mapping_aodrno", "predicted_aodrno").join(attributes, "predicted_aodrno", "full")
+    mapped = fill_numeric(predictions).join(named, "predicted_aodrno", "left")
+    flagged = outcome_flags(mapped, facts, distinct=distinct_facts)
     # Without an item row the place is unknown and no requirement is known.
-    return lookup_join(flagged, attributes, ["predicted_aodrno"]).na.fill({"area": "0", "requirement": "absent"})
+    return flagged.na.fill({"area": "0", "requirement": "absent"})
 
 
 def funnel_report(
@@ -213,8 +212,10 @@ def index_interactions(spark: SparkSession, log_path: str, out_path: str, run_da
         log = read_strings(spark, log_path, ["user", "item", "rating"])
     else:
         log = spark.read.parquet(log_path).toDF("user", "item", "rating")
-    indexed, _, _ = index_log(log, "user", "item")
-    publish(indexed, out_path, _run_date(run_date))
+    with temporary_tables(spark):
+        stored = materialize(log, "log")  # both id sets and the joins read it: parse the text once
+        indexed, _, _ = index_log(stored, "user", "item")
+        publish(indexed, out_path, _run_date(run_date))
 
 
 def fit_recommender(
@@ -236,8 +237,11 @@ def recommend(
     out_path: str,
     run_date: str,
     limit: int = -1,
+    all_pairs: bool | None = None,
 ) -> None:
-    """Scores of listed users and items: all positive ones and each user's best, as dated and latest copies."""
+    """Scores of listed users and items as dated and latest copies: each user's best with a ``limit``, all positive ones
+    without. ``all_pairs`` writes all positive ones beside the best too; their number is that of users times items.
+    """
     log = read_table(spark, indexed_path, s.INDEXED_LOG)
     users, items = read_id_list(spark, users_path, "user_id"), read_id_list(spark, items_path, "item_id")
     model = ALSModel.load(model_path)
@@ -246,10 +250,11 @@ def recommend(
     with temporary_tables(spark):
         user_ids = materialize(log.select("user", USER_ID).distinct(), "user-ids")
         item_ids = materialize(log.select("item", ITEM_ID).distinct(), "item-ids")
-        scores = score_lists(model, users, items, user_ids, item_ids)
-        publish(scores, all_path, run_date)
-        if limit > 0:  # from the factors again, in equal blocks: far less work than reading all scored pairs
-            best = score_lists(model, users, items, user_ids, item_ids, limit, cell=ALL_CELL)
+        if limit <= 0 or all_pairs:
+            scores = score_lists(model, users, items, user_ids, item_ids)
+            publish(scores, all_path, run_date)
+        if limit > 0:
+            best = score_lists(model, users, items, user_ids, item_ids, limit)
         else:
             best = read_table(spark, dated(all_path, run_date), scores.schema)
         publish(best, best_path, run_date)

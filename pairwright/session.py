@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",  # hot keys are cut even where that costs a shuffle
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.serializer": "org.apache.spark.serializer.KryoSerializer",

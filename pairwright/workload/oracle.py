@@ -273,6 +273,16 @@ ORACLE: dict[str, str] = {
         "SELECT p_brand, p_partkey, p_retailprice, ROW_NUMBER() OVER "
         "(PARTITION BY p_brand ORDER BY p_retailprice DESC, p_partkey) AS export_rank FROM part"
     ),
+    "export_by_key_files": "SELECT '20200131' AS run_date, p_brand, p_partkey, CAST(p_retailprice AS DOUBLE) AS p_retailprice FROM part",
+    "present_flag": (
+        "SELECT c_custkey, CASE WHEN NULLIF(c_mktsegment, 'BUILDING') IS NOT NULL AND NULLIF(c_nationkey, 3) IS NOT NULL "
+        "THEN '1' ELSE '0' END AS both_given FROM customer"
+    ),
+    "forest_scores": (
+        "SELECT c_custkey, CAST(c_nationkey >= 12 AS INTEGER) AS label, CAST(c_nationkey >= 12 AS INTEGER) AS guess "
+        "FROM customer WHERE c_nationkey IS NOT NULL"
+    ),
+    "als_topn": f"""SELECT DISTINCT "user" AS user_id, 5 AS n_scores, TRUE AS scores_agree FROM {LOG} AS log WHERE "user" IS NOT NULL""",
     "label_index": (
         "SELECT CAST(quality AS VARCHAR) AS label, COUNT(*) AS n, "
         "ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, CAST(quality AS VARCHAR)) - 1 AS label_index FROM labels GROUP BY quality"

@@ -8,8 +8,8 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairwright.functions import age_years, area_code, date_serial, gap_band, match_level, region_group
-from pairwright.ml.als import USER_ID, fit_als, index_log, score_lists
+from pairwright.functions import age_years, area_code, date_serial, gap_band, match_level, present, region_group
+from pairwright.ml.als import ITEM_ID, USER_ID, fit_als, index_log, score_lists
 from pairwright.ml.forest import fit_forest, match_scores
 from pairwright.operators.eligibility import eligible_filter, eligible_pairs
 from pairwright.operators.features import fill_missing, fill_numeric
@@ -32,12 +32,15 @@ from pairwright.operators.ranking import at_least, positive, score_export, top_n
 from pairwright.operators.split import hash_share, label_index, weighted_precision
 from pairwright.plans.jobs import candidate_features as build_candidates
 from pairwright.plans.jobs import scored_outcomes
-from pairwright.session import materialize
+from pairwright.session import materialize, scratch_path
+from pairwright.sources.export import export_by_key
 from pairwright.workload import frames as f
 from pairwright.workload.frames import bind, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+ALS_LIMIT = 5
+
 DATE_TEXT = (
     "CASE o_orderkey % 4 WHEN 0 THEN date_format(o_orderdate, 'yyyy/M/d') "
     "WHEN 1 THEN date_format(o_orderdate, 'yyyy/MM/dd HH:mm:ss') "
@@ -270,16 +273,19 @@ def q_candidate_features(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def q_forest_scores(spark: SparkSession, folder: str) -> DataFrame:
-    vectors = table(spark, folder, "embeddings")
-    size = len(vectors.select("embedding").first()[0])
-    names = [f"x{i}" for i in range(size)]
-    rows = vectors.select(
-        "vec_id",
-        (F.col("label") % 2).cast("int").alias("label"),
-        *[F.get("embedding", i).cast("double").alias(name) for i, name in enumerate(names)],
-    )
-    fitted = fit_forest(rows, "label", names, "vec_id", grid={"numTrees": (10,), "maxDepth": (4, 6)})
-    return match_scores(fitted.model, rows, "score", 1).select("vec_id", "label", "score")
+    """A forest learns a label that one column of the customers decides, beside columns that say nothing about it."""
+    nation = F.col("c_nationkey").cast("double")
+    rows = table(spark, folder, "customer").select(
+        "c_custkey",
+        (F.col("c_nationkey") >= 12).cast("int").alias("label"),
+        nation.alias("nation"),
+        (F.lit(25.0) - nation).alias("opposite"),
+        F.coalesce(F.col("c_acctbal").cast("double"), F.lit(0.0)).alias("balance"),
+    ).where("nation IS NOT NULL")
+    features = ["nation", "opposite", "balance"]
+    fitted = fit_forest(rows, "label", features, "c_custkey", grid={"numTrees": (20,), "maxDepth": (4, 6)})
+    scored = match_scores(fitted.model, rows, "score", 1)
+    return scored.select("c_custkey", "label", (F.col("score") > 0.5).cast("int").alias("guess"))
 
 
 def q_als_topn(spark: SparkSession, folder: str) -> DataFrame:
@@ -289,7 +295,31 @@ def q_als_topn(spark: SparkSession, folder: str) -> DataFrame:
         for df, name in ((indexed, "log"), (user_ids, "user-ids"), (item_ids, "item-ids"))
     )
     model = fit_als(indexed, rank=8, max_iter=5)
-    return score_lists(model, user_ids.select("user"), item_ids.select("item"), user_ids, item_ids, limit=5)
+    users, items = user_ids.select("user"), item_ids.select("item")
+    best = materialize(score_lists(model, users, items, user_ids, item_ids, limit=ALS_LIMIT), "best")
+    # every returned score again from the factors, by two key joins
+    left = user_ids.join(model.userFactors, F.col(USER_ID) == F.col("id")).select(F.col("user").alias("user_id"), F.col("features").alias("_u"))
+    right = item_ids.join(model.itemFactors, F.col(ITEM_ID) == F.col("id")).select(F.col("item").alias("item_id"), F.col("features").alias("_i"))
+    again = F.aggregate(F.zip_with("_u", "_i", lambda x, y: x.cast("double") * y), F.lit(0.0), lambda a, x: a + x)
+    checked = best.join(left, "user_id").join(right, "item_id").withColumn("off", F.abs(again - F.col("prediction")))
+    return checked.groupBy("user_id").agg(
+        F.countDistinct("prediction").alias("n_scores"), (F.max("off") < 1e-5).alias("scores_agree")
+    )
+
+
+def q_present_flag(spark: SparkSession, folder: str) -> DataFrame:
+    customers = table(spark, folder, "customer")
+    segment, name = F.expr("NULLIF(c_mktsegment, 'BUILDING')"), F.expr("NULLIF(c_nationkey, 3)")
+    return customers.select("c_custkey", present(segment, name).alias("both_given"))
+
+
+def q_export_by_key_files(spark: SparkSession, folder: str) -> DataFrame:
+    """The files that the per-key export writes, read back."""
+    parts = table(spark, folder, "part").select("p_brand", "p_partkey", "p_retailprice")
+    path = scratch_path(spark, "export")
+    export_by_key(parts, path, "p_brand", "p_retailprice", "20200131")
+    schema = "p_partkey long, p_retailprice double, run_date string, p_brand string"
+    return spark.read.schema(schema).csv(path, header=True).select("run_date", "p_brand", "p_partkey", "p_retailprice")
 
 
 QUERIES: dict[str, Query] = {
@@ -331,4 +361,6 @@ QUERIES: dict[str, Query] = {
     "candidate_features": q_candidate_features,
     "forest_scores": q_forest_scores,
     "als_topn": q_als_topn,
+    "present_flag": q_present_flag,
+    "export_by_key_files": q_export_by_key_files,
 }

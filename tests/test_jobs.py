@@ -151,7 +151,7 @@ def test_recommendation(spark, tmp_path):
     assert Path(f"{base}/als_20200131").is_dir()
     for limit in (2, -1):
         jobs.recommend(
-            spark, f"{base}/als", f"{base}/users.csv", f"{base}/items.csv", f"{base}/indexed.csv", f"{base}/out", "20200131", limit
+            spark, f"{base}/als", f"{base}/users.csv", f"{base}/items.csv", f"{base}/indexed.csv", f"{base}/out", "20200131", limit, all_pairs=True
         )
         everything = read_strings(spark, f"{base}/out/als_predict_data_all.csv")
         best = read_strings(spark, f"{base}/out/als_predict_data_limit.csv")

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pairwright.operators import joins
-from pairwright.operators.joins import all_pairs, fits_broadcast, hot_keys, lookup_join, pair_join, salted_join
+from pairwright.operators.joins import all_pairs, fits_broadcast, lookup_join, pair_join
 from tests.conftest import values
 
 
@@ -22,45 +22,43 @@ def other(spark):
     return spark.range(120).select((F.col("id") % 45).alias("k"), F.col("id").alias("w"))
 
 
-def test_hot_keys_finds_the_heavy_value(spark, skewed):
-    [hot] = hot_keys(skewed, ["k"], min_rows=200)
-    expected = skewed.select(F.xxhash64(F.lit(7).cast("long"))).first()[0]
-    assert [h.key_hash for h in hot] == [expected]
-    assert hot[0].splits > 1
-    assert hot_keys(skewed, ["k"]) == [[]]
-
-
-def test_hot_keys_counts_null_and_several_keys(spark):
-    df = spark.range(1000).select(F.lit(None).cast("long").alias("k"), F.col("id").alias("v"))
-    on_k, on_v = hot_keys(df, ["k"], ["v"], min_rows=100)
-    assert len(on_k) == 1 and on_v == []
-    assert hot_keys(df.limit(0), ["k"], min_rows=1) == [[]]
+@pytest.fixture
+def small_thresholds(spark):
+    names = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256b",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256b",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "64",
+    }
+    before = {name: spark.conf.get(name, None) for name in names}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_salted_join_equals_plain_join(skewed, other, how):
-    [hot] = hot_keys(skewed, ["k"], min_rows=20)
-    assert hot
-    assert values(salted_join(skewed, other, ["k"], how, hot)) == values(skewed.join(other, ["k"], how))
-
-
-def test_salted_join_cuts_the_hot_key(spark, skewed, other):
-    [hot] = hot_keys(skewed, ["k"], min_rows=20)
-    spread = skewed.repartition(8).withColumn("s", F.pmod(joins._spread(skewed), F.lit(hot[0].splits)))
-    largest = spread.where("k = 7").groupBy("s").count().agg(F.max("count")).first()[0]
-    assert largest < 1000 / 2
-
-
-def test_salted_join_refuses_what_it_cannot_do(skewed, other):
-    with pytest.raises(ValueError):
-        salted_join(skewed, other, ["k"], "full")
-    with pytest.raises(ValueError):
-        salted_join(skewed, other.withColumn("k", F.col("k").cast("int")), ["k"])
+def test_many_hot_keys_are_all_cut(spark, small_thresholds, how):
+    """A dozen hot keys among 2 000: adaptive handling cuts what is large, whatever their number; rows equal a plain join."""
+    left = spark.range(0, 200_000, numPartitions=8).select(
+        F.when(F.col("id") < 120_000, F.col("id") % 12).otherwise(F.col("id") % 2000).alias("k"), F.col("id").alias("v")
+    )
+    right = spark.range(1500).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
+    joined = lookup_join(left, right, ["k"], how, max_rows=0)
+    found = joined.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*joined.columns).cast("decimal(38,0)")))
+    tasks = joined.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n"), F.max("k").alias("k")).collect()
+    plain = left.join(F.broadcast(right), "k", how)
+    assert found.first() == plain.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*joined.columns).cast("decimal(38,0)"))).first()
+    if how != "left_anti":
+        assert max(t.n for t in tasks) < 10_000  # a hot key alone has 10 000 rows
 
 
 @pytest.mark.parametrize("max_rows", [0, 1000])
 def test_lookup_join_both_plans(skewed, other, max_rows):
-    found = lookup_join(skewed, other, ["k"], "left", max_rows, min_hot_rows=50)
+    found = lookup_join(skewed, other, ["k"], "left", max_rows)
     assert values(found) == values(skewed.join(other, ["k"], "left"))
 
 
@@ -94,7 +92,7 @@ def test_fits_broadcast_counts_rows_and_bytes(spark):
 @pytest.mark.parametrize("how", ["inner", "left"])
 def test_lookup_join_with_a_heavy_value_on_both_sides(spark, skewed, how):
     heavy = spark.range(300).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") + 20).alias("k"), F.col("id").alias("w"))
-    found = lookup_join(skewed, heavy, ["k"], how, max_rows=0, min_hot_rows=50)
+    found = lookup_join(skewed, heavy, ["k"], how, max_rows=0)
     assert values(found.select("k", "v", "w")) == values(skewed.join(heavy, ["k"], how).select("k", "v", "w"))
 
 

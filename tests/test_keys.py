@@ -42,10 +42,9 @@ def test_dense_ids_other_bucket_count_and_no_rows(spark):
     assert dense_ids(df.limit(0), "id", "dense").count() == 0
 
 
-@pytest.mark.parametrize("min_hot_rows", [None, 2])
-def test_attach_ids_drops_null_keys_and_keeps_copies(log, min_hot_rows):
+def test_attach_ids_drops_null_keys_and_keeps_copies(log):
     ids = {"user": dense_ids(log, "user", "uid"), "item": dense_ids(log, "item", "iid")}
-    found = values(attach_ids(log, ids, min_hot_rows).select("user", "item", "rating"))
+    found = values(attach_ids(log, ids).select("user", "item", "rating"))
     assert found == values(log.where("user IS NOT NULL AND item IS NOT NULL"))
 
 

@@ -40,8 +40,7 @@ def facts(events):
     ]
 
 
-@pytest.mark.parametrize("min_hot_rows", [None, 3])
-def test_flags_and_copies_equal_left_joins(pairs, events, min_hot_rows):
+def test_flags_and_copies_equal_left_joins(pairs, events):
     passed, mailed = events
     flat = pairs.join(passed, (F.col("u") == F.col("pu")) & (F.col("i") == F.col("pi")), "left").join(
         mailed, (F.col("u") == F.col("mu")) & (F.col("i") == F.col("mi")), "left"
@@ -51,7 +50,7 @@ def test_flags_and_copies_equal_left_joins(pairs, events, min_hot_rows):
         F.when(F.col("pu").isNotNull(), "1").otherwise("0"),
         F.when(F.col("mu").isNotNull(), "1").otherwise("0"),
     )
-    found = outcome_flags(pairs, facts(events), min_hot_rows=min_hot_rows)
+    found = outcome_flags(pairs, facts(events))
     assert values(repeat_rows(found, "copies")) == values(expected)
 
 
