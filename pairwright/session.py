@@ -65,14 +65,26 @@ def _hadoop(spark: SparkSession, path: str) -> tuple[object, object]:
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
 
 
+_session_folders: dict[tuple[str, str], str] = {}  # application id and scratch folder to the folder of its tables
+
+
+def _session_folder(spark: SparkSession) -> str:
+    """A folder of this application in the scratch folder, which is removed when the application's JVM ends."""
+    place = (spark.sparkContext.applicationId, scratch_folder(spark))
+    if place not in _session_folders:
+        path = f"{place[1]}/tables-{uuid.uuid4().hex}"
+        files, folder = _hadoop(spark, path)
+        files.mkdirs(folder)
+        files.deleteOnExit(folder)
+        _session_folders[place] = path
+    return _session_folders[place]
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path in the scratch folder. What is written there goes with the block or with the session."""
-    path = f"{scratch_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{_session_folder(spark)}/{name}-{uuid.uuid4().hex}"
     if (paths := _temporary.get()) is not None:
         paths.append(path)
-    else:
-        files, folder = _hadoop(spark, path)
-        files.deleteOnExit(folder)
     return path
 
 

@@ -152,3 +152,28 @@ def test_combined_ratings(spark, recommender):
     users, items = lists(spark, ["u1", "u2"], [f"i{n}" for n in range(30)])
     first, second = (score_lists(m, users, items, user_ids, item_ids).orderBy("user_id", "item_id").collect() for m in (model, twice))
     assert [r["prediction"] for r in first] == pytest.approx([r["prediction"] for r in second], rel=1e-2)
+
+
+def test_one_listed_user_makes_one_block(spark):
+    """Factors are copied for the blocks of the lists, not for those of all known ids."""
+    log = spark.range(6000).select((F.col("id") % 900).alias("user"), (F.col("id") % 60).alias("item"), F.lit(1.0).alias("rating"))
+    indexed, user_ids, item_ids = (materialize(x, "ids") for x in index_log(log, "user", "item"))
+    model = fit_als(indexed, rank=2, max_iter=2, user_blocks=2, item_blocks=2)
+    one = user_ids.select("user").limit(1)
+    scored = score_lists(model, one, item_ids.select("item"), user_ids, item_ids, limit=3, cell=(50, 1000))
+    assert scored.select("user_id").distinct().count() == 1
+    plan = scored._jdf.queryExecution().optimizedPlan().toString()
+    assert "1) as int) AS _row" in plan and "1) as int) AS _col" in plan  # one block on each side: nothing is repeated
+
+
+@pytest.mark.parametrize("cell", [(7, 5), (4096, 262_144)])
+def test_top_scores_are_those_of_all_scores(spark, cell, monkeypatch):
+    monkeypatch.setattr("pairwright.ml.als.CHUNK_ITEMS", 4)
+    log = spark.range(3000).select((F.col("id") % 40).alias("user"), (F.col("id") * 7 % 33).alias("item"), (F.col("id") % 5 + 1.0).alias("rating"))
+    indexed, user_ids, item_ids = (materialize(x, "ids") for x in index_log(log, "user", "item"))
+    model = fit_als(indexed, rank=3, max_iter=3, user_blocks=2, item_blocks=2)
+    lists = (user_ids.select("user"), item_ids.select("item"), user_ids, item_ids)
+    rank = F.dense_rank().over(Window.partitionBy("user_id").orderBy(F.desc("prediction")))
+    everything = score_lists(model, *lists).withColumn("r", rank).where("r <= 4").drop("r")
+    best = score_lists(model, *lists, limit=4, cell=cell)
+    assert sorted(map(tuple, best.collect())) == sorted(map(tuple, everything.collect()))
