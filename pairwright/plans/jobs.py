@@ -80,8 +80,10 @@ def fit_match_model(spark: SparkSession, training_path: str, model_path: str, **
     """Training matrix to saved forest pipeline. ``options`` go to :func:`pairwright.ml.forest.fit_forest`."""
     rows = fill_numeric(read_table(spark, training_path, s.feature_matrix(with_label=True)))
     with temporary_tables(spark):
-        stored = materialize(rows, "training")  # the search reads it many times: parse the text once
-        fitted = fit_forest(stored, s.LABEL, s.FEATURE_COLUMNS, "id", **options)
+        # split and folds follow the pair, not a row number, so a repeated run makes the same ones
+        pair = F.xxhash64(F.col("i_aodrid").cast("string"), F.col("u_wsfid").cast("string"))
+        stored = materialize(rows.withColumn("pair_key", pair), "training")  # read many times: parse the text once
+        fitted = fit_forest(stored, s.LABEL, s.FEATURE_COLUMNS, "pair_key", **options)
         fitted.model.write().overwrite().save(model_path)
     return fitted
 
@@ -93,8 +95,8 @@ def build_candidate_features(
     features = candidate_features(
         read_table(spark, users_path), read_table(spark, items_path), read_table(spark, schools_path)
     )
-    with temporary_tables(spark):
-        write_table(row_ids(features, "id"), out_path)
+    with temporary_tables(spark):  # unique ids in the order of the one write: the largest table is not stored first
+        write_table(features.select(F.monotonically_increasing_id().alias("id"), *features.columns), out_path)
 
 
 def score_candidates(
