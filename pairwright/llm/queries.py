@@ -146,4 +146,20 @@ ORACLE: dict[str, str] = {
                                      THEN 1 ELSE 0 END)::BIGINT AS taken
         FROM drawn
     """,
+    "op7_pigeonhole": """
+        WITH RECURSIVE rows_ AS (SELECT row_number() OVER () AS r, vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+        usable AS (
+            SELECT r, e, sqrt(list_inner_product(e, e)) AS norm FROM rows_
+            WHERE len(e) > 0 AND len([x FOR x IN e IF x IS NULL OR isnan(x) OR isinf(x)]) = 0 AND len([x FOR x IN e IF x <> 0]) > 0
+        ),
+        links AS (
+            SELECT a.r AS x, b.r AS y FROM usable a JOIN usable b ON len(a.e) = len(b.e) AND a.r <> b.r
+            WHERE list_inner_product(a.e, b.e) / (a.norm * b.norm) >= 0.9
+        ),
+        reached AS (SELECT r, r AS t FROM rows_ UNION SELECT reached.r, y FROM reached JOIN links ON reached.t = links.x),
+        counted AS (SELECT x AS r, count(*) AS n FROM links GROUP BY x)
+        SELECT a.vec_id, any_value(coalesce(c.n, 0)) AS n_links, min(b.vec_id) AS component_id, a.vec_id = min(b.vec_id) AS kept
+        FROM rows_ a JOIN reached ON a.r = reached.r JOIN rows_ b ON b.r = reached.t LEFT JOIN counted c ON c.r = a.r
+        GROUP BY a.r, a.vec_id
+    """,
 }
