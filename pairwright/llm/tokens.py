@@ -27,7 +27,7 @@ from pyspark.sql.functions import pandas_udf
 from pairwright.llm.common import text_key
 from pairwright.session import materialize
 
-KNOWN_SEGMENTS = 600_000  # entries that a task remembers at most, some 200 bytes each. No result depends on it.
+KNOWN_SEGMENTS = 150_000  # entries that a task remembers at most, some 200 bytes each. No result depends on it.
 CHUNK_CHARS = 1 << 16
 OVERLAP_CHARS = 256
 _UNPROVEN = re.compile(r"\s ")  # a space after white space: a boundary that the proof does not cover
