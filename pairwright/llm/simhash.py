@@ -100,7 +100,8 @@ def fingerprint_links(prints: DataFrame, max_bits: int = 3, segments: int = 4) -
     left = prints.select(fp.alias("a"), keys.alias("key")).select("a", F.explode(changes).alias("change"), "key")
     left = left.select("a", F.col("key").bitwiseXOR(F.col("change")).alias("key"))
     right = prints.select(fp.alias("b"), keys.alias("key"))
-    met = left.join(right, "key").where("a < b")
+    # sizes are estimated from before the rows are multiplied, so neither side may be broadcast on such an estimate
+    met = left.hint("merge").join(right.hint("merge"), "key").where("a < b")
     xor = F.col("a").bitwiseXOR(F.col("b"))
     differ = [F.bit_count(_segment(xor, i, width)) for i in range(segments)]
 
