@@ -154,7 +154,8 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", max_bits:
     marked = materialize(marked.select(*[F.col(x).alias(y) for x, y in zip(("key", "t1", "t2", "stays"), (k, a, b, stays))]), "dropped")
     t1, t2 = text_key(text)
     here = (F.col(key).eqNullSafe(marked[k])) & (t1 == marked[a]) & (t2 == marked[b])
-    joined = docs.join(marked, here, "left")
+    # the same plan at every size: what goes grows with the documents
+    joined = docs.hint("merge").join(marked.hint("merge"), here, "left")
     single = joined.where(F.col(stays).isNull()).select(*docs.columns)
     if marked.where(F.col(stays)).isEmpty():
         return single
