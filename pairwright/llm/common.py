@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SPACES = " \t\n\r\x0b\x0c"  # \x20 and \x09-\x0D, what bytes.split() without arguments splits at
-WORD = r"[^\x20\x09-\x0D]+"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

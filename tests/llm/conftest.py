@@ -1,6 +1,5 @@
 import pytest
 
-from tests.llm import brute
 
 LONG = "A long line of words that goes on. " * 6000
 
@@ -42,6 +41,3 @@ def no_docs(spark):
 
 def by_text(rows):
     return sorted(rows, key=lambda r: tuple((v is None, str(v)) for v in r))
-
-
-__all__ = ["brute", "by_text"]
