@@ -2,7 +2,8 @@
 
 Two second-order character models are trained from labelled samples: values that the fixed patterns mark as secrets, and
 ordinary words and identifiers of the same documents. A candidate is a long run of key characters with letters and digits.
-It is reported if its log-likelihood ratio a character is above what any held-out ordinary string reaches.
+It is reported if its log-likelihood ratio a character is above zero by a margin. Strings that look random without a label
+do not count as ordinary.
 """
 
 from __future__ import annotations
@@ -34,6 +35,8 @@ _KEYWORDS = ("passw", "secret", "token", "api")
 _CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=.-])[A-Za-z0-9+/_=.-]{20,}")
 _ORDINARY = re.compile(r"(?<![A-Za-z0-9_])(?=[0-9_]*[A-Za-z])[A-Za-z0-9_]{4,}")  # numbers alone are neither of the labels
 _DIGIT, _LETTER = re.compile(r"[0-9]"), re.compile(r"[A-Za-z]")
+FOLDS = 5  # parts of the ordinary strings, each held out once
+_TELLABLE_CHARS = 8  # letters alone of fewer characters tell too little to be called random
 
 
 def base_secrets(text: str) -> list[Span]:
@@ -110,21 +113,34 @@ class RandomnessTest:
         return found
 
 
-def fit_randomness(random: list[str], ordinary: list[str], margin: float = 0.5) -> RandomnessTest:
-    """Train both models. Every fifth ordinary string is held out; the bound is above all of these by ``margin``.
+def _tellable(word: str) -> bool:
+    return len(word) >= _TELLABLE_CHARS or (_DIGIT.search(word) is not None and _LETTER.search(word) is not None)
 
-    Random characters of a uniform alphabet stand beside the labelled secrets in equal number, since secrets of a corpus
-    may all be of one alphabet. Without samples the uniform parts decide.
+
+def fit_randomness(random: list[str], ordinary: list[str], margin: float = 0.5, rounds: int = 3) -> RandomnessTest:
+    """Train both models. The bound is zero, where both are as likely, plus ``margin`` for each character.
+
+    Ordinary strings are all that no fixed pattern marks, so secrets without a label are among them. In each round a string
+    is held against a model of the other folds, and one that looks random leaves the ordinary ones. No single string moves
+    the bound. Random characters of a uniform alphabet stand beside the labelled secrets in equal number, since secrets of
+    a corpus may all be of one alphabet. Without samples the uniform parts decide.
     """
     random, ordinary = sorted(set(random)), sorted(set(ordinary))
-    held, learned = ordinary[::5], [w for i, w in enumerate(ordinary) if i % 5]
     base = CharModel.train(random)
     alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
     singles = Counter(base.singles) + Counter({c: max(1, base.total // 62) for c in alphabet})
     mixed = CharModel({}, {}, dict(singles), sum(singles.values()))
-    test = RandomnessTest(mixed, CharModel.train(learned), math.inf)
-    highest = max((test.ratio(w) for w in held if len(w) >= 8), default=0.0)
-    return RandomnessTest(mixed, test.ordinary, max(highest, 0.0) + margin)
+    folds = [ordinary[i::FOLDS] for i in range(FOLDS)]
+    kept = folds
+    for _ in range(rounds):
+        left = []
+        for i, fold in enumerate(folds):
+            test = RandomnessTest(mixed, CharModel.train([w for j, x in enumerate(kept) if j != i for w in x]), 0.0)
+            left.append([w for w in fold if not (_tellable(w) and test.ratio(w) > test.bound)])
+        if left == kept:
+            break
+        kept = left
+    return RandomnessTest(mixed, CharModel.train([w for x in kept for w in x]), margin)
 
 
 def learn_randomness(
