@@ -158,8 +158,10 @@ def _part_links(key: tuple, left: pd.DataFrame, right: pd.DataFrame, blocks: int
     columns = ["node", "links", "to"]
     if not len(left) or not len(right):
         return pd.DataFrame(columns=columns).astype("int64")
-    vectors = [np.frombuffer(b"".join(side["data"]), "<f8").reshape(-1, dims) for side in (left, right)]
     same = a == b
+    left = left.sort_values("node")
+    right = left if same else right.sort_values("node")  # rows of a group come in any order
+    vectors = [np.frombuffer(b"".join(side["data"]), "<f8").reshape(-1, dims) for side in (left, right)]
     nodes = np.concatenate([left["node"].to_numpy(), right["node"].to_numpy()])
     n_left, n_right = left["n"].to_numpy(), right["n"].to_numpy()
     shift = 0 if same else len(left)

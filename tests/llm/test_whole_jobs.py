@@ -1,9 +1,10 @@
 """Operators where a cut or an outlier could take part of the job away."""
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
-from pairwright.llm import secrets
+from pairwright.llm import embeddings, secrets
 
 CHARS = np.array(list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"))
 
@@ -24,3 +25,22 @@ def test_keys_without_label_do_not_hide_others(spark):
         assert test.added(f"name {word} here", []) == []
     rows = secrets.scan_secrets(keyed, test).where(F.size("spans") > 0).count()
     assert rows >= 57
+
+
+def test_parts_of_one_chunk_stand_any_order():
+    draw = np.random.default_rng(8)
+    base = draw.standard_normal((6, 16))
+    data = [(base[i % 6] + 0.05 * draw.standard_normal(16)).astype("<f8").tobytes() for i in range(60)]
+    side = pd.DataFrame({"node": np.arange(100, 160), "n": draw.integers(1, 4, 60), "data": data})
+    for b in (0, 1):  # one chunk with itself, and two chunks
+        other = side if b == 0 else side.assign(node=side["node"] + 100)
+        want = embeddings._part_links((16, 0, 0, 0, b), side, other, 1, 0.9)
+        for seed in range(3):
+            mixed = side.sample(frac=1, random_state=seed), other.sample(frac=1, random_state=seed + 10)
+            got = embeddings._part_links((16, 0, 0, 0, b), *mixed, 1, 0.9)
+            assert sorted(got.itertuples(index=False)) == sorted(want.itertuples(index=False))
+    counts = dict(zip(*embeddings._part_links((16, 0, 0, 0, 0), side, side, 1, 0.9)[["node", "links"]].values.T))
+    unit = np.stack([np.frombuffer(d, "<f8") for d in data])
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    near = (unit @ unit.T >= 0.9) & ~np.eye(60, dtype=bool)
+    assert [counts.get(100 + i, 0) for i in range(60)] == (near @ side["n"].to_numpy()).tolist()
