@@ -33,10 +33,10 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 CARD_DIGITS, PHONE_DIGITS, IP_PART = (13, 19), (9, 15), 255
 
 _TOKEN = re.compile(r"[^\W\d_]+|[0-9]+|\s+|.", re.S)
-_TRIGGER = re.compile(r"[0-9@]|\b(?:dot|DOT)\b")
+_TRIGGER = re.compile(r"[0-9@]|\b(?i:dot)\b")
 _DIGIT = re.compile(r"[0-9]")
 NEAR = 8  # tokens on either side of a trigger that belong to its window
-SPAN_TOKENS = 22  # the longest entity
+SPAN_TOKENS = 40  # the longest entity: a name of four parts at a host of four labels, all marks in brackets
 _WORDS_INSIDE = ("at", "dot")
 VERSIONS = 4  # rewritten versions of each training window
 BUCKETS = 1 << 12  # feature hashes
@@ -117,6 +117,13 @@ def _windows(text: str) -> Iterator[Window]:
         yield Window(tokens, _candidates(tokens))
 
 
+def _joins(kinds: list[str], at: int) -> bool:
+    """Whether the token is an at sign, "at" or "dot", or the bracket that closes one of these words."""
+    if at < 0:
+        return False
+    return kinds[at] in "k@" or (at > 1 and kinds[at - 1] == "k" and kinds[at - 2] + kinds[at] in ("()", "[]"))
+
+
 def _candidates(tokens: list[tuple[str, int, int]]) -> list[tuple[int, int]]:
     """Token ranges that may be entities: they hold a digit, an at sign or "dot", and no run of plain words."""
     spans = []
@@ -138,8 +145,8 @@ def _candidates(tokens: list[tuple[str, int, int]]) -> list[tuple[int, int]]:
             kind = kinds[j]
             if kind in "n#*$%&|!?;\"":
                 break
-            if kind == "a" and j > i and kinds[j - 1] == " " and (j < 2 or kinds[j - 2] != "k"):
-                break  # a plain word after a space, but for one that follows "at" or "dot"
+            if kind == "a" and j > i and kinds[j - 1] == " " and not _joins(kinds, j - 2):
+                break  # a plain word after a space, but for one that follows "at", "(at)", "[at]", "@" or the like for "dot"
             anchored = anchored or kind in "9@" or (kind == "k" and tokens[j][0].lower() == "dot")
             if anchored and kind in "9ak" and j > i:
                 spans.append((i, j + 1))
@@ -268,18 +275,28 @@ def _posteriors(window: Window, inside: np.ndarray, outside: np.ndarray) -> tupl
     return np.exp(edges[:, None] + inside), np.exp(tokens)
 
 
-def train_field(examples: list[tuple[str, list[Span]]], epochs: int = 8, rate: float = 0.3) -> SegmentField:
-    """Conditional likelihood by adaptive gradient steps; examples are texts with their spans. None: a field of zeros."""
+def train_field(
+    examples: list[tuple[str, list[Span]]], epochs: int = 8, rate: float = 0.3, strict: bool = False
+) -> SegmentField:
+    """Conditional likelihood by adaptive gradient steps; examples are texts with their spans. None: a field of zeros.
+
+    A window that holds a span outside its lattice teaches nothing, since it would teach the span as outside; ``strict``
+    raises instead.
+    """
     k = len(KINDS)
     weights = np.zeros((BUCKETS, k + 1))
     scale = np.full((BUCKETS, k + 1), 1e-2)
     data = []
     for text, spans in examples:
+        known: set[tuple[int, int]] = set()
         for window in _windows(text):
-            if not window.spans:
+            places = {(window.tokens[i][1], window.tokens[j - 1][2]): s for s, (i, j) in enumerate(window.spans)}
+            known |= places.keys()
+            first, last = (window.tokens[0][1], window.tokens[-1][2]) if window.tokens else (0, 0)
+            lost = any(start < last and first < end and (start, end) not in places for _, start, end in spans)
+            if lost or not window.spans:
                 continue
             features = _features(window)
-            places = {(window.tokens[i][1], window.tokens[j - 1][2]): s for s, (i, j) in enumerate(window.spans)}
             gold = np.zeros((len(window.spans), k))
             out = np.ones(len(window.tokens))
             for kind, start, end in spans:
@@ -287,6 +304,8 @@ def train_field(examples: list[tuple[str, list[Span]]], epochs: int = 8, rate: f
                     gold[s, KINDS.index(kind)] = 1
                     out[window.spans[s][0] : window.spans[s][1]] = 0
             data.append((window, features, gold, out))
+        if strict and (lost_spans := [text[start:end] for _, start, end in spans if (start, end) not in known]):
+            raise ValueError(f"not in the lattice: {lost_spans}")
     field = SegmentField(weights)
     order = np.random.default_rng(0)
     for _ in range(epochs):

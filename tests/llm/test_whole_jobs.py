@@ -2,9 +2,10 @@
 
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
-from pairwright.llm import embeddings, secrets
+from pairwright.llm import embeddings, pii, secrets
 
 CHARS = np.array(list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"))
 
@@ -44,3 +45,22 @@ def test_parts_of_one_chunk_stand_any_order():
     unit /= np.linalg.norm(unit, axis=1, keepdims=True)
     near = (unit @ unit.T >= 0.9) & ~np.eye(60, dtype=bool)
     assert [counts.get(100 + i, 0) for i in range(60)] == (near @ side["n"].to_numpy()).tolist()
+
+
+def test_rewritten_data_is_in_the_lattice(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    given = ["ann@mail.com", "ann.m_lee7+x@mail3.sub.example.com", "10.20.30.40", "4111 1111 1111 1111", "+1 (017) 555-7713"]
+    examples = []
+    for value in given:
+        text = f"please note {value} for it"
+        for choice in range(30):
+            examples += pii.training_examples(text, pii.base_pii(text), choice)
+    pii.train_field(examples, epochs=0, strict=True)
+    with pytest.raises(ValueError):
+        pii.train_field([("a b c d 1", [("email", 0, 9)])], epochs=0, strict=True)
+    field = pii.learn_field(docs)
+    for host in ("(at) mail (dot) com", "[at] mail [dot] com", "@ mail.com", "at mail Dot com", "[at]mail[dot]com"):
+        for space in (" ",) if host[1] != "a" or " " in host else ("",):
+            text = f"please write to jane.doe{space}{host} soon"
+            want = [("email", 16, len(text) - 5)]
+            assert field.added(text, pii.base_pii(text)) == want, text
