@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 
+import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pairwright.session import materialize
+
 SPACES = " \t\n\r\x0b\x0c"  # \x20 and \x09-\x0D, what bytes.split() without arguments splits at
 
 
@@ -76,10 +80,75 @@ def base_count(spans: Column, kind: str) -> Column:
     return F.size(F.filter(spans, lambda s: s["base"] & (s["kind"] == kind))).cast("long")
 
 
-def hash_sample(docs: DataFrame, rows: int, key: str, text: str) -> DataFrame:
-    """About ``rows`` documents at most, chosen by a hash of key and text, to fit a model on."""
-    total = docs.count()
-    if total <= rows:
-        return docs
-    share = int(rows / total * (1 << 31))
-    return docs.where(F.pmod(F.xxhash64(F.col(key), F.col(text), F.lit("sample")), F.lit(1 << 31)) < share)
+class HashSample:
+    """The ``limit`` distinct values of the smallest hashes among all that are added."""
+
+    def __init__(self, limit: int) -> None:
+        self.limit, self.top = limit, 1 << 63
+        self.kept: dict[str, int] = {}
+
+    def wanted(self, value: str) -> bool:
+        """Whether the value would be new in the sample."""
+        return value not in self.kept and text_hash(value) < self.top
+
+    def add(self, value: str) -> None:
+        if value in self.kept or (place := text_hash(value)) >= self.top:
+            return
+        self.kept[value] = place
+        if len(self.kept) > self.limit + self.limit // 4 + 8:
+            self.cut()
+
+    def cut(self) -> None:
+        self.kept = dict(sorted(self.kept.items(), key=lambda x: (x[1], x[0]))[: self.limit])
+        if len(self.kept) == self.limit:
+            self.top = max(self.kept.values(), default=-1) + 1
+
+
+def text_hash(value: str) -> int:
+    return xxhash.xxh64_intdigest(value.encode("utf-8", "replace")) >> 1
+
+
+Label = Callable[[str, Callable[[bool, str], bool]], Iterable[tuple[bool, str]]]
+
+
+def labelled_samples(rows: DataFrame, text: str, label: Label, limit: int) -> dict[bool, list[str]]:
+    """For each label at most ``limit`` distinct values, chosen by hash from those that ``label`` finds in all texts.
+
+    ``label`` gets a text, and a function that tells whether a value of a label could still be chosen; it may leave out
+    values that could not. Each task keeps its own samples, so what leaves it is bounded whatever the number of labels.
+    """
+
+    def pick(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        samples = {mark: HashSample(limit) for mark in (True, False)}
+        for part in parts:
+            for value in part.column(0).to_pylist():
+                if value:
+                    for mark, found in label(value, lambda m, v: samples[m].wanted(v)):
+                        samples[mark].add(found)
+        for mark, sample in samples.items():
+            sample.cut()
+            values = [pa.array([mark] * len(sample.kept), pa.bool_()), pa.array(sample.kept.keys(), pa.string())]
+            yield pa.RecordBatch.from_arrays([*values, pa.array(sample.kept.values(), pa.int64())], ["mark", "value", "place"])
+
+    found = rows.select(F.col(f"`{text}`").alias("text")).mapInArrow(pick, "mark boolean, value string, place long")
+    found = materialize(found, "labelled")
+    chosen = {}
+    for mark in (True, False):
+        kept = found.where(F.col("mark") == mark).select("place", "value").distinct()
+        chosen[mark] = [r.value for r in kept.orderBy("place", "value").limit(limit).collect()]  # at most limit rows
+    return chosen
+
+
+def span_check(spans: list[Span], margin: int = 0) -> Callable[[int, int], bool]:
+    """A function that tells whether a range is within ``margin`` of a span; it is asked for ranges in text order."""
+    ordered = sorted((start, end) for _, start, end in spans)
+    at, reach = 0, -margin - 1
+
+    def near(start: int, end: int) -> bool:
+        nonlocal at, reach
+        while at < len(ordered) and ordered[at][0] - margin < end:
+            reach = max(reach, ordered[at][1])
+            at += 1
+        return start < reach + margin
+
+    return near

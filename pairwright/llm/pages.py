@@ -12,18 +12,17 @@ import html
 import math
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
-from pairwright.llm.common import hash_sample
+from pairwright.llm.common import labelled_samples
 
 # Element names of HTML.
 RAW = frozenset(("script", "style", "title", "textarea", "noscript", "template", "iframe", "svg", "math", "canvas", "select"))
@@ -323,20 +322,50 @@ def page_examples(source: str, versions: int = 3) -> list[tuple[list[list[int]],
     return found
 
 
+# Pages that name their parts, for tables with next to none: training takes them beside what the table has.
+FEW_PAGES = 20
+BUILT_IN_VERSIONS = 12
+BUILT_IN_PAGES = (
+    """<html><body><header><a href=/>Daily Paper</a></header><nav><ul><li><a href=/a>Home</a><li><a href=/b>Sports</a><li>
+    <a href=/c>Contact us</a></ul></nav><article><h1>River path opens again</h1><p>After two years of work, the path along
+    the river is open to walkers again, the town said on Monday.</p><p>Some benches are new, and old trees were kept where
+    that was possible. The work cost less than planned.</p><p>A bridge follows in spring.</p></article><aside class=sidebar>
+    <h3>Related</h3><ul><li><a href=/d>Bridge plans shown</a><li><a href=/e>Town budget</a></ul></aside><footer>&copy; 2021
+    Daily Paper. All rights reserved.</footer></body></html>""",
+    """<html><body><div class="cookie-notice">We use cookies to improve this site. Accept</div><div class=menu><a href=/>Start
+    </a> <a href=/x>Recipes</a></div><main><h1>Bread in one evening</h1><p>Mix flour, water, salt and yeast, and let the
+    dough rest for an hour.</p><h2>Baking</h2><ul><li>Heat the oven until it is really hot.</li><li>Bake for forty minutes,
+    then let it cool.</li></ul><p>It keeps for three days.</p></main><section class=comments><div class=comment><p>Worked
+    well for me, thank you!</p></div></section><form><p>Subscribe to our newsletter</p></form><footer><a href=/i>Imprint</a>
+    <a href=/p>Privacy</a></footer></body></html>""",
+    """<html><body><div class=navbar><ul><li><a href=/>Docs</a><li><a href=/s>Search</a></ul></div><div class=breadcrumb><a
+    href=/>Docs</a> / <a href=/g>Guide</a></div><article><h1>Installing</h1><p>Download the archive and unpack it in a folder
+    of your choice.</p><pre>tar -xf archive.tar</pre><p>Then start the program once, so that it writes its settings.</p>
+    <blockquote><p>Older versions kept settings elsewhere, as the last chapter says.</p></blockquote></article><div class=share>
+    <a href=/t>Share</a> <a href=/m>Mail</a></div><div class=footer>Copyright 2020, the authors</div></body></html>""",
+    """<html><body><header><h1>Travel notes</h1></header><div class=ads><p>Cheap flights, book today!</p></div><main><p>We left
+    early, while the harbour was still dark, and reached the island before noon.</p><p>The second day was quiet; we read,
+    swam, and walked to the lighthouse.</p><table><tr><td>Ferry</td><td>two hours</td></tr></table></main><div class=related>
+    <p><a href=/o>Another island, another story</a></p></div><aside><p>About me: I write about places.</p></aside><footer>
+    <p>Terms of use</p></footer></body></html>""",
+)
+
+
 def learn_blocks(pages: DataFrame, key: str = "page_id", source: str = "html", sample_pages: int = 200) -> BlockField:
-    """Train on at most ``sample_pages`` pages whose markup names its parts, chosen by hash. None: nothing is main text
-    but by the default of :func:`extract_pages`.
+    """Train on at most ``sample_pages`` pages, chosen by hash from all of the table whose markup names its parts.
+
+    Where fewer than ``FEW_PAGES`` do, built-in example pages stand beside them. ``key`` bounds nothing any more.
     """
 
-    def named(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
-            kept = [s for s in part.column(0).to_pylist() if s and named_labels(leaf_blocks(s)) is not None]
-            yield pa.RecordBatch.from_arrays([pa.array(kept, pa.string())], ["source"])
+    def named(value: str, wanted: Callable[[bool, str], bool]) -> Iterator[tuple[bool, str]]:
+        if wanted(True, value) and named_labels(leaf_blocks(value)) is not None:
+            yield True, value
 
-    few = hash_sample(pages, 8 * sample_pages, key, source)
-    rows = few.select(F.col(source).alias("source")).mapInArrow(named, "source string")
-    chosen = rows.orderBy(F.xxhash64("source"), "source").limit(sample_pages).collect()
-    return train_blocks([example for row in chosen for example in page_examples(row.source)])
+    found = labelled_samples(pages, source, named, sample_pages)[True]
+    chosen = [x for page in found for x in page_examples(page)]
+    if len(found) < FEW_PAGES:
+        chosen += [x for page in BUILT_IN_PAGES for x in page_examples(page, BUILT_IN_VERSIONS)]
+    return train_blocks(chosen)
 
 
 _FOUND = T.StructType([T.StructField("text", T.StringType()), T.StructField("n_blocks", T.LongType()), T.StructField("n_main", T.LongType())])
@@ -345,8 +374,7 @@ _FOUND = T.StructType([T.StructField("text", T.StringType()), T.StructField("n_b
 def extract_pages(pages: DataFrame, field: BlockField, source: str = "html", result: str = "main") -> DataFrame:
     """Add a struct (text, n_blocks, n_main): the main blocks of each whole page, joined by one line feed.
 
-    A null or empty page, and one without main blocks, has an empty text. Without any training page all blocks tie and
-    count as boilerplate, so nothing is extracted.
+    A null or empty page, and one without main blocks, has an empty text.
     """
     weights, moves, start = field.weights.astype("float32"), field.moves, field.start
 

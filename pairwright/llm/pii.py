@@ -11,17 +11,16 @@ from __future__ import annotations
 import math
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from pairwright.llm.common import SPANS, Span, hash_sample, span_rows
+from pairwright.llm.common import SPANS, Span, labelled_samples, span_check, span_rows
 
 # Kinds in their order, patterns and limits of the base scan.
 KINDS = ("email", "ip", "card", "phone")
@@ -366,34 +365,27 @@ def training_examples(text: str, spans: list[Span], choice: int) -> list[tuple[s
 def learn_field(
     docs: DataFrame, key: str = "doc_id", text: str = "text", sample_docs: int = 20_000, sample_windows: int = 250
 ) -> SegmentField:
-    """Train on windows of about ``sample_docs`` documents, at most ``sample_windows`` with and without base spans each."""
+    """Train on at most ``sample_windows`` windows with and without base spans each, chosen by hash from all documents.
+
+    ``sample_docs`` and ``key`` bound nothing any more: spans may be in few documents.
+    """
     margin = 60
 
-    def cut(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
-            rows: set[tuple[bool, str]] = set()
-            for value in part.column(0).to_pylist():
-                if not value:
-                    continue
-                spans = base_pii(value)
-                for _, start, end in spans:
-                    if end - start <= 80:
-                        rows.add((True, value[max(0, start - margin) : end + margin]))
-                for m in _TRIGGER.finditer(value):
-                    if not any(s - margin < m.end() and m.start() < e + margin for _, s, e in spans):
-                        rows.add((False, value[max(0, m.start() - margin) : m.end() + margin]))
-            listed = sorted(rows)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in listed], pa.bool_()), pa.array([r[1] for r in listed], pa.string())],
-                ["marked", "part"],
-            )
-
-    rows = hash_sample(docs, sample_docs, key, text).select(F.col(text).alias("text")).mapInArrow(cut, "marked boolean, part string")
+    def cut(value: str, wanted: Callable[[bool, str], bool]) -> Iterator[tuple[bool, str]]:
+        spans = base_pii(value)
+        for _, start, end in spans:
+            if end - start <= 80:
+                yield True, value[max(0, start - margin) : end + margin]
+        near = span_check(spans, margin)
+        for m in _TRIGGER.finditer(value):
+            if not near(m.start(), m.end()):
+                yield False, value[max(0, m.start() - margin) : m.end() + margin]
+
+    chosen = labelled_samples(docs, text, cut, sample_windows)
     examples = []
     for marked in (True, False):
-        kept = rows.where(F.col("marked") == marked).select("part").distinct()
-        for row in kept.orderBy(F.xxhash64("part"), "part").limit(sample_windows).collect():
-            examples += training_examples(row.part, base_pii(row.part), zlib.crc32(row.part.encode()))
+        for part in chosen[marked]:
+            examples += training_examples(part, base_pii(part), zlib.crc32(part.encode()))
     return train_field(examples)
 
 

@@ -11,16 +11,15 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from pairwright.llm.common import SPANS, Span, hash_sample, span_rows
+from pairwright.llm.common import SPANS, Span, labelled_samples, span_check, span_rows
 
 # Kinds, patterns and lengths of the base scan.
 KINDS = ("assign", "access", "hex", "markov")
@@ -146,31 +145,25 @@ def fit_randomness(random: list[str], ordinary: list[str], margin: float = 0.5,
 def learn_randomness(
     docs: DataFrame, key: str = "doc_id", text: str = "text", sample_docs: int = 10_000, sample_strings: int = 20_000
 ) -> RandomnessTest:
-    """Fit the test on about ``sample_docs`` documents and at most ``sample_strings`` strings of each label."""
-
-    def label(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
-            rows: set[tuple[bool, str]] = set()
-            for value in part.column(0).to_pylist():
-                spans = base_secrets(value or "")
-                for kind, start, end in spans:
-                    match = _ASSIGN.match(value, start) if kind == "assign" else None
-                    rows.add((True, match[2] if match else value[start:end]))
-                for m in _ORDINARY.finditer(value or ""):
-                    if not any(start < m.end() and m.start() < end for _, start, end in spans):
-                        rows.add((False, m[0][:64]))
-            listed = sorted(rows)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in listed], pa.bool_()), pa.array([r[1] for r in listed], pa.string())],
-                ["secret", "value"],
-            )
-
-    rows = hash_sample(docs, sample_docs, key, text).select(F.col(text).alias("text")).mapInArrow(label, "secret boolean, value string")
-    chosen = {}
-    for secret in (True, False):
-        kept = rows.where(F.col("secret") == secret).select("value").distinct()
-        kept = kept.orderBy(F.xxhash64("value"), "value").limit(sample_strings)
-        chosen[secret] = [r.value for r in kept.collect()]  # at most sample_strings rows
+    """Fit the test on at most ``sample_strings`` strings of each label, chosen by hash from those of all documents.
+
+    ``sample_docs`` and ``key`` bound nothing any more: labels may be in few documents.
+    """
+
+    def label(value: str, wanted: Callable[[bool, str], bool]) -> Iterator[tuple[bool, str]]:
+        spans = base_secrets(value)
+        for kind, start, end in spans:
+            match = _ASSIGN.match(value, start) if kind == "assign" else None
+            yield True, match[2] if match else value[start:end]
+        if spans:
+            near = span_check(spans)
+            words = {m[0] for m in _ORDINARY.finditer(value) if not near(m.start(), m.end())}
+        else:
+            words = set(_ORDINARY.findall(value))
+        for word in words:
+            yield False, word[:64]
+
+    chosen = labelled_samples(docs, text, label, sample_strings)
     return fit_randomness(chosen[True], chosen[False])
 
 

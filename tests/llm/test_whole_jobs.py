@@ -5,7 +5,8 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from pairwright.llm import embeddings, pii, secrets
+from pairwright.llm import embeddings, pages, pii, secrets
+from tests.llm.test_groups import MAIN, PAGE
 
 CHARS = np.array(list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"))
 
@@ -64,3 +65,28 @@ def test_rewritten_data_is_in_the_lattice(spark):
             text = f"please write to jane.doe{space}{host} soon"
             want = [("email", 16, len(text) - 5)]
             assert field.added(text, pii.base_pii(text)) == want, text
+
+
+def test_rare_labels_are_found_in_all_rows(spark, monkeypatch):
+    plain = [(i, f"plain words number {i} without a mark") for i in range(3000)]
+    marked = [(4000 + i, f"mail a{i}@example.com or token = abcdef{i}x") for i in range(3)]
+    docs = spark.createDataFrame(plain + marked, "doc_id long, text string").repartition(4)
+    seen = {}
+    monkeypatch.setattr(pii, "train_field", lambda examples: seen.update(pii=examples))
+    monkeypatch.setattr(secrets, "fit_randomness", lambda random, ordinary: seen.update(random=random, ordinary=ordinary))
+    pii.learn_field(docs, sample_docs=10, sample_windows=20)
+    assert sum(bool(spans) for _, spans in seen["pii"]) == 3 * (1 + pii.VERSIONS)
+    assert sum(not spans for _, spans in seen["pii"]) == 20
+    secrets.learn_randomness(docs, sample_docs=10, sample_strings=5)
+    assert sorted(seen["random"]) == [f"abcdef{i}x" for i in range(3)] and len(seen["ordinary"]) == 5
+    divs = [(i, f"<div><p>page {i}</p></div>", "") for i in range(2000)]
+    named = [(3000 + i, PAGE.replace("Great", f"Great {i}"), "") for i in range(30)]
+    given = spark.createDataFrame(divs + named, "page_id long, html string, text string").repartition(4)
+    with monkeypatch.context() as patch:
+        patch.setattr(pages, "train_blocks", lambda examples: seen.update(pages=examples))
+        pages.learn_blocks(given, sample_pages=25)
+    assert len(seen["pages"]) == 25 * 4
+    field = pages.learn_blocks(given.where("page_id < 3000"))
+    one = pages.extract_pages(spark.createDataFrame([(1, PAGE)], "page_id long, html string"), field).first()
+    lines = one.main.text.split("\n")
+    assert set(lines) <= set(MAIN.split("\n")) and len(lines) >= 4
