@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from pairwright.llm.common import base_count, base_digest, joined_spans, table
 from pairwright.llm.embeddings import near_vectors
 from pairwright.llm.lines import drop_frequent_lines
+from pairwright.llm.lookup_clusters import embedding_clusters
+from pairwright.llm.merkle import edit_range, fingerprint_edits, written
 from pairwright.llm.mixing import mix_sources
 from pairwright.llm.packing import pack
 from pairwright.llm.pages import extract_pages, learn_blocks
@@ -19,6 +21,7 @@ from pairwright.llm.quality import fit_quality_rules, quality_verdicts
 from pairwright.llm.secrets import learn_randomness, scan_secrets
 from pairwright.llm.simhash import near_duplicates
 from pairwright.llm.tokens import count_tokens
+from pairwright.llm.whitening import whiten_vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -89,6 +92,31 @@ def op10_block_field(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("page_id", "url", "main.text", F.length("main.text").cast("long").alias("n_chars"))
 
 
+def op11_lookup_tables(spark: SparkSession, folder: str) -> DataFrame:
+    found = embedding_clusters(table(spark, folder, "embeddings").select("vec_id", "embedding"))
+    centroid = F.sha2(F.array_join(F.col("found.centroid").cast("array<string>"), ","), 256)
+    numbers = ["found.cluster", "found.distance", "found.cluster_inertia", "found.inertia"]
+    return found.select("vec_id", *numbers, centroid.alias("centroid_sha256"))
+
+
+def op12_jacobi_davidson(spark: SparkSession, folder: str) -> DataFrame:
+    return whiten_vectors(table(spark, folder, "embeddings")).withColumnRenamed("key", "vec_id")
+
+
+def op13_merkle_tree(spark: SparkSession, folder: str) -> DataFrame:
+    found = fingerprint_edits(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select(
+        F.col("key").alias("doc_id"),
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        written(F.col("tree")).alias("fingerprint"),
+        written(F.col("edited_tree")).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+        edit_range(F.col("tree"), F.col("edited_tree"))["start"].alias("edit_start"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_semi_markov": op1_semi_markov,
     "op2_line_runs": op2_line_runs,
@@ -100,10 +128,47 @@ QUERIES: dict[str, Query] = {
     "op8_markov": op8_markov,
     "op9_cutting_stock": op9_cutting_stock,
     "op10_block_field": op10_block_field,
+    "op11_lookup_tables": op11_lookup_tables,
+    "op12_jacobi_davidson": op12_jacobi_davidson,
+    "op13_merkle_tree": op13_merkle_tree,
 }
 _SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+_SEGMENT = r"[^\n]{16,64}?[\x20\t]|[^\n]{1,64}"
+
+
+def _likeness(a: str, b: str) -> str:
+    both = f"len({a}.g) + len({b}.g)"
+    return f"""CASE WHEN {a}.root = {b}.root THEN 1.0::DOUBLE WHEN {both} = 0 THEN 0.0
+               ELSE 2.0::DOUBLE * len(list_intersect({a}.g, {b}.g)) / ({both}) END"""
+
+
+def _lookup_assignment(i: int) -> str:
+    """Table a<i>: every kept vector with the number and distance of the nearest centroid of table c<i-1>."""
+    return f"""
+        a{i} AS (
+            SELECT vec_id, x, unnest(best, recursive := true) FROM (
+                SELECT r, any_value(vec_id) AS vec_id, any_value(x) AS x, min({{'d': d, 'c': c}}) AS best FROM (
+                    SELECT r, vec_id, x, c, list_sum([(x[j] - y[j]) * (x[j] - y[j]) FOR j IN range(1, 65)])::BIGINT AS d
+                    FROM kept, c{i - 1}
+                ) GROUP BY r
+            )
+        )"""
+
+
+def _lookup_round(i: int) -> str:
+    """Tables a<i>, and c<i>: the centroids after a further round."""
+    return _lookup_assignment(i) + f""",
+        s{i} AS (
+            SELECT c, list(m ORDER BY j) AS y FROM (
+                SELECT c, j, ((sum(v) - ((sum(v) % count(*)) + count(*)) % count(*)) // count(*))::BIGINT AS m
+                FROM (SELECT c, unnest(x) AS v, generate_subscripts(x, 1) AS j FROM a{i}) GROUP BY c, j
+            ) GROUP BY c
+        ),
+        c{i} AS (SELECT c{i - 1}.c, coalesce(s{i}.y, c{i - 1}.y) AS y FROM c{i - 1} LEFT JOIN s{i} ON c{i - 1}.c = s{i}.c)"""
+
+
 ORACLE: dict[str, str] = {
     "op2_line_runs": f"""
         WITH docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
@@ -162,4 +227,65 @@ ORACLE: dict[str, str] = {
         FROM rows_ a JOIN reached ON a.r = reached.r JOIN rows_ b ON b.r = reached.t LEFT JOIN counted c ON c.r = a.r
         GROUP BY a.r, a.vec_id
     """,
+    "op11_lookup_tables": f"""
+        WITH
+        kept AS (
+            SELECT row_number() OVER () AS r, vec_id, [floor(64 * x::DOUBLE)::BIGINT FOR x IN embedding] AS x,
+                   sha256('1:' || coalesce(vec_id::VARCHAR, '')) AS place
+            FROM embeddings
+            WHERE len(embedding) = 64 AND len([x FOR x IN embedding IF x IS NULL OR isnan(x) OR isinf(x)]) = 0
+        ),
+        c0 AS (SELECT row_number() OVER (ORDER BY place, x) - 1 AS c, x AS y FROM kept QUALIFY c < 16),
+        {_lookup_round(1)}, {_lookup_round(2)}, {_lookup_round(3)}, {_lookup_assignment(4)},
+        totals AS (SELECT c, sum(d)::BIGINT AS s FROM a4 GROUP BY c)
+        SELECT vec_id, a4.c::INTEGER AS cluster, d AS distance, s AS cluster_inertia,
+               (SELECT sum(s) FROM totals)::BIGINT AS inertia, sha256(array_to_string(y, ',')) AS centroid_sha256
+        FROM a4 JOIN totals ON a4.c = totals.c JOIN c3 ON a4.c = c3.c
+    """,
+    "op13_merkle_tree": f"""
+        WITH RECURSIVE docs AS (
+            SELECT row_number() OVER (ORDER BY doc_id NULLS LAST, text) AS r, doc_id, coalesce(text, '') AS t, len(t)::BIGINT AS n
+            FROM documents
+        ),
+        pairs AS (
+            SELECT a.r, a.doc_id, a.n, a.t, left(a.t, (a.n - a.n // 4)::BIGINT) || left(b.t, (a.n // 4)::BIGINT) AS e, b.r AS next
+            FROM docs a JOIN docs b ON b.r = a.r % (SELECT count(*) FROM docs) + 1
+        ),
+        texts AS (SELECT r, 0 AS side, t FROM pairs UNION ALL SELECT r, 1, e FROM pairs),
+        lines AS (
+            SELECT r, side, unnest(string_split(t, chr(10))) AS line, generate_subscripts(string_split(t, chr(10)), 1) AS i FROM texts
+        ),
+        hashed AS (SELECT r, side, list(sha256(line) ORDER BY i) AS paragraphs, list(len(line) ORDER BY i) AS lengths FROM lines GROUP BY r, side),
+        runs AS (
+            SELECT *, [x FOR x IN string_split(array_to_string([d || CASE WHEN left(d, 1) < '4' THEN ';' ELSE ',' END
+                                                                FOR d IN paragraphs], ''), ';') IF x <> ''] AS sections
+            FROM hashed
+        ),
+        cuts AS (
+            SELECT r, side, left(sha256(s), 8) AS d
+            FROM (SELECT r, side, unnest(regexp_extract_all(t, '{_SEGMENT}')) AS s FROM texts)
+        ),
+        numbered AS (SELECT *, row_number() OVER (PARTITION BY r, side, d) AS k FROM cuts),
+        segments AS (
+            SELECT r, side, list(d || CASE WHEN k = 1 THEN '' ELSE '*' || k END ORDER BY d, k) AS g FROM numbered GROUP BY r, side
+        ),
+        trees AS (
+            SELECT runs.r, runs.side, paragraphs, lengths, coalesce(g, []) AS g,
+                   sha256(array_to_string([sha256(s) FOR s IN sections], '')) AS root,
+                   concat_ws('/', root, array_to_string([left(sha256(s), 16) FOR s IN sections], ''),
+                             array_to_string([left(p, 16) FOR p IN paragraphs], ''), array_to_string(coalesce(g, []), ',')) AS written
+            FROM runs LEFT JOIN segments ON runs.r = segments.r AND runs.side = segments.side
+        ),
+        compared AS (
+            SELECT p.doc_id, p.n, p.e, a, b, c
+            FROM pairs p JOIN trees a ON a.r = p.r AND a.side = 0 JOIN trees b ON b.r = p.r AND b.side = 1
+                 JOIN trees c ON c.r = p.next AND c.side = 0
+        )
+        SELECT doc_id, n AS n_chars, sha256(e) AS edited_sha256, a.written AS fingerprint, b.written AS edited_fingerprint,
+               {_likeness("a", "b")} AS near_edited, {_likeness("a", "c")} AS near_next,
+               CASE WHEN a.root <> b.root THEN least(
+                   n, coalesce(list_sum([a.lengths[i] + 1 FOR i IN range(1, len(a.lengths) + 1)
+                                IF a.paragraphs[:i] = b.paragraphs[:i]]), 0))::BIGINT END AS edit_start
+        FROM compared
+    """,
 }
