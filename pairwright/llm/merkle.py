@@ -6,8 +6,9 @@ moves no other section's end. A section's node is the SHA-256 of its paragraphs'
 digests. Two texts are equal if their roots are; otherwise equal nodes at the front and at the back leave the branches that
 differ, and with them the range of code points that holds the edits (:func:`edit_range`).
 
-Below the paragraphs are segments of 16 to 65 code points, cut at white space, of which short digests are kept, repeats
-numbered. Likeness is twice the number of common segments over the number of both (Dice), and 1 for equal roots.
+Below the paragraphs are segments of 16 to 65 code points, cut at white space, of which short digests are kept in order of
+their values. Likeness is twice the number of common segments, repeats counted, over the number of both (Dice), and 1 for
+equal roots.
 """
 
 from __future__ import annotations
@@ -21,21 +22,15 @@ from pairwright.session import materialize
 SEGMENT = r"[^\n]{16,64}?[\x20\t]|[^\n]{1,64}"
 NODE_DIGITS = 16  # of a section's or paragraph's digest in a written fingerprint; the nodes themselves are whole
 SEGMENT_DIGITS = 8
-RUN = f"([0-9a-f]{{{SEGMENT_DIGITS}}},)\\1*"  # equal digests next to each other in a sorted list
+RUN = f"([0-9a-f]{{{SEGMENT_DIGITS}}})\\1*"  # equal digests next to each other in sorted ones
 REPEATS = 10_000  # rows of one key and text from which on the results of their copies are dealt over tasks
 
 
-def _numbered(run: Column) -> Column:
-    """``d,d,d,`` as d, d*2, d*3, so that a set of numbered digests is a multiset of digests."""
-    digest = F.substring(run, 1, SEGMENT_DIGITS)
-    times = F.sequence(F.lit(1), (F.length(run) / (SEGMENT_DIGITS + 1)).cast("int"))
-    return F.transform(times, lambda k: F.when(k == 1, digest).otherwise(F.concat_ws("*", digest, k)))
-
-
 def merkle_tree(text: Column) -> Column:
     """Struct (root, sections, paragraphs, lengths, segments) of a text; null counts as empty.
 
-    The empty text is one empty paragraph without segments. ``lengths`` are the code points of the paragraphs.
+    The empty text is one empty paragraph without segments. ``lengths`` are the code points of the paragraphs, ``segments``
+    the sorted digests in one string.
     """
     whole = F.coalesce(text, F.lit(""))
     lines = F.split(whole, "\n")
@@ -43,13 +38,12 @@ def merkle_tree(text: Column) -> Column:
     ended = F.transform(paragraphs, lambda d: F.concat(d, F.when(F.substring(d, 1, 1) < "4", ";").otherwise(",")))
     runs = F.filter(F.split(F.array_join(ended, ""), ";"), lambda run: run != "")
     segments = F.regexp_extract_all(whole, F.lit(SEGMENT), F.lit(0))
-    digests = F.transform(segments, lambda s: F.concat(F.substring(F.sha2(s, 256), 1, SEGMENT_DIGITS), F.lit(",")))
-    equal = F.regexp_extract_all(F.array_join(F.array_sort(digests), ""), F.lit(RUN), F.lit(0))
+    digests = F.transform(segments, lambda s: F.substring(F.sha2(s, 256), 1, SEGMENT_DIGITS))
     below = F.struct(
         F.transform(runs, lambda run: F.sha2(run, 256)).alias("sections"),
         paragraphs.alias("paragraphs"),
         F.transform(lines, F.length).alias("lengths"),
-        F.flatten(F.transform(equal, _numbered)).alias("segments"),
+        F.array_join(F.array_sort(digests), "").alias("segments"),
     )
     # the one pass of a transform names the lower levels once, so the root does not compute them again
     rooted = F.transform(
@@ -68,14 +62,24 @@ def merkle_tree(text: Column) -> Column:
 def written(tree: Column) -> Column:
     """A tree as text: root, sections, paragraphs and segments, with digests of fixed lengths."""
     short = lambda nodes: F.array_join(F.transform(nodes, lambda d: F.substring(d, 1, NODE_DIGITS)), "")
-    segments = F.array_join(tree["segments"], ",")
-    return F.concat_ws("/", tree["root"], short(tree["sections"]), short(tree["paragraphs"]), segments)
+    return F.concat_ws("/", tree["root"], short(tree["sections"]), short(tree["paragraphs"]), tree["segments"])
+
+
+def _numbered(segments: Column) -> Column:
+    """Sorted digests d, d, d as an array of d, d*2, d*3, so that a set of numbered digests is a multiset of digests."""
+
+    def number(run: Column) -> Column:
+        digest = F.substring(run, 1, SEGMENT_DIGITS)
+        times = F.sequence(F.lit(1), (F.length(run) / SEGMENT_DIGITS).cast("int"))
+        return F.transform(times, lambda k: F.when(k == 1, digest).otherwise(F.concat_ws("*", digest, k)))
+
+    return F.flatten(F.transform(F.regexp_extract_all(segments, F.lit(RUN), F.lit(0)), number))
 
 
 def likeness(a: Column, b: Column) -> Column:
     """From 0 to 1: 1 for equal roots, otherwise the Dice coefficient of the segments."""
-    common = F.size(F.array_intersect(a["segments"], b["segments"])).cast("double")
-    both = F.size(a["segments"]) + F.size(b["segments"])
+    common = F.size(F.array_intersect(_numbered(a["segments"]), _numbered(b["segments"]))).cast("double")
+    both = (F.length(a["segments"]) + F.length(b["segments"])) / SEGMENT_DIGITS
     return F.when(a["root"] == b["root"], 1.0).when(both == 0, 0.0).otherwise(2 * common / both)
 
 
@@ -111,9 +115,9 @@ def edit_range(a: Column, b: Column) -> Column:
 
 
 def _chain(docs: DataFrame) -> DataFrame:
-    """Rows (g1, g2, copies, asked, p1, p2): each distinct row, what the row before asks of its text, and that row's name."""
+    """Rows (g1, g2, key, copies, asked, p1, p2): each distinct row, what the row before asks of its text, and that row's name."""
     groups = docs.groupBy("g1", "g2").agg(
-        F.first("key").alias("key"), F.first("h1").alias("h1"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n")
+        F.first("key").alias("key"), F.max("h1").alias("h1"), F.count(F.lit(1)).alias("copies"), F.max("n").alias("n")
     )
     groups = materialize(groups, "distinct-rows")
     order = [F.col("key").asc_nulls_last(), F.col("h1"), F.col("g1"), F.col("g2")]
@@ -125,7 +129,7 @@ def _chain(docs: DataFrame) -> DataFrame:
         F.col("g1").alias("p1"),
         F.col("g2").alias("p2"),
     )
-    return placed.join(before.hint("merge"), "at").select("g1", "g2", "copies", "asked", "p1", "p2")
+    return placed.join(before.hint("merge"), "at").select("g1", "g2", "key", "copies", "asked", "p1", "p2")
 
 
 def fingerprint_edits(rows: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -150,7 +154,7 @@ def fingerprint_edits(rows: DataFrame, key: str = "doc_id", text: str = "text")
         F.xxhash64(F.lit(1), named, named.isNull(), whole).alias("g2"),
     )
     chain = materialize(_chain(docs), "row-chain")
-    texts = docs.groupBy("g1", "g2").agg(F.first("key").alias("key"), F.first("text").alias("text"))
+    texts = docs.groupBy("g1", "g2").agg(F.first("text").alias("text"))  # both uses below read one exchange
 
     def own(chain: DataFrame) -> DataFrame:
         return texts.join(chain.hint("merge"), ["g1", "g2"]).withColumn("tree", merkle_tree(F.col("text")))
@@ -174,13 +178,21 @@ def fingerprint_edits(rows: DataFrame, key: str = "doc_id", text: str = "text")
             near_next.alias("near_next"),
         )
 
-    front, nodes = F.substring(F.col("text"), F.lit(1), F.col("asked")), F.struct("tree.root", "tree.segments")
-    after = own(chain).select(F.col("p1").alias("g1"), F.col("p2").alias("g2"), front.alias("front"), nodes.alias("next"))
-    results = edited(own(chain).join(after.hint("merge"), ["g1", "g2"]))
+    front = F.substring(F.col("text"), F.lit(1), F.col("asked"))
+    after = own(chain).select(
+        F.col("p1").alias("g1"),
+        F.col("p2").alias("g2"),
+        front.alias("front"),
+        F.col("tree.root").alias("next_root"),
+        F.unhex("tree.segments").alias("next_segments"),  # half as long as text
+    )
+    met = own(chain).join(after.hint("merge"), ["g1", "g2"])
+    nodes = F.struct(F.col("next_root").alias("root"), F.lower(F.hex("next_segments")).alias("segments"))
+    results = edited(met.withColumn("next", nodes))
     most = chain.agg(F.max("copies")).first()[0] or 1
     if most > 1:  # all but one row of equal key and text are followed by themselves
         quarter = F.substring(F.col("text"), F.lit(1), F.floor(F.length("text") / 4).cast("int"))
-        alike = edited(own(chain.where("copies > 1")).withColumns({"front": quarter, "next": nodes}))
+        alike = edited(own(chain.where("copies > 1")).withColumns({"front": quarter, "next": F.col("tree")}))
         alike = alike.withColumn("first", F.explode(F.sequence(F.lit(1), F.col("copies") - 1, F.lit(REPEATS))))
         if most > REPEATS:
             alike = alike.repartition("g1", "first")

@@ -267,13 +267,13 @@ ORACLE: dict[str, str] = {
         ),
         numbered AS (SELECT *, row_number() OVER (PARTITION BY r, side, d) AS k FROM cuts),
         segments AS (
-            SELECT r, side, list(d || CASE WHEN k = 1 THEN '' ELSE '*' || k END ORDER BY d, k) AS g FROM numbered GROUP BY r, side
+            SELECT r, side, list(d || '*' || k ORDER BY d, k) AS g, string_agg(d, '' ORDER BY d) AS written FROM numbered GROUP BY r, side
         ),
         trees AS (
             SELECT runs.r, runs.side, paragraphs, lengths, coalesce(g, []) AS g,
                    sha256(array_to_string([sha256(s) FOR s IN sections], '')) AS root,
                    concat_ws('/', root, array_to_string([left(sha256(s), 16) FOR s IN sections], ''),
-                             array_to_string([left(p, 16) FOR p IN paragraphs], ''), array_to_string(coalesce(g, []), ',')) AS written
+                             array_to_string([left(p, 16) FOR p IN paragraphs], ''), coalesce(segments.written, '')) AS written
             FROM runs LEFT JOIN segments ON runs.r = segments.r AND runs.side = segments.side
         ),
         compared AS (
