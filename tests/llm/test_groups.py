@@ -245,3 +245,39 @@ def test_pipeline_on_edges(spark, edge_docs, tmp_path):
     labels.write.parquet(str(tmp_path / "labels.parquet"))
     edge_docs.withColumn("n_chars", edge_docs["doc_id"]).write.parquet(str(tmp_path / "documents.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() > 0
+
+
+def test_vectors_in_cells(spark):
+    """Cells over several coordinates lose no link, and prune where vectors cluster along few directions."""
+    draw = np.random.default_rng(6)
+    centres = draw.standard_normal((30, 3)) @ draw.standard_normal((3, 32)) + 0.05 * draw.standard_normal((30, 32))
+    data = (centres[draw.integers(30, size=1200)] + 0.12 * draw.standard_normal((1200, 32))).astype(np.float32)
+    unit = embeddings._unit(data)
+    cells = embeddings.fit_cells(32, len(data), unit[:500], 2, 0.9, 100)
+    pairs = []
+    for block in range(2):
+        home, row, guest = cells.places(unit, block)
+        met = {(int(r), int(c)) for r, c in zip(row, guest)} | {(r, int(c)) for r, c in enumerate(home)}
+        size = np.bincount(home, minlength=16)
+        pairs.append((size * (size - 1) / 2).sum() + sum(size[c] for c in guest))
+        low, high = cells.bounds[block]
+        turned = unit @ cells.turn[:, low:high]
+        near = np.argwhere(((turned[:, None] - turned) ** 2).sum(2) <= cells.shares[block])
+        assert all((a, int(home[b])) in met or (b, int(home[a])) in met for a, b in near.tolist())
+    assert sum(pairs) < 0.8 * len(data) * (len(data) - 1) / 2  # both blocks together compare fewer than all pairs here
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(data)], "vec_id long, embedding array<float>")
+    cosine = unit @ unit.T >= 0.9
+    got = {r.key: (r.n_links, r.component) for r in embeddings.near_vectors(frame, part_rows=100).collect()}
+    label = brute.groups(len(data), [(a, b) for a, b in np.argwhere(cosine).tolist() if a < b])
+    assert got == {i: (int(cosine[i].sum()) - 1, label[i]) for i in range(len(data))}
+
+
+@pytest.mark.parametrize("spread", [0.0001, 0.02])
+def test_dense_tiles_decide_as_single_pairs(spread):
+    draw = np.random.default_rng(1)
+    data = (draw.standard_normal(48) + spread * 10 * draw.standard_normal((300, 48))).astype(np.float32)
+    unit = embeddings._unit(data)
+    cells = embeddings.fit_cells(48, 300, unit, 2, 0.995, 1000)
+    found = [tuple(p) for b in range(2) for i, j in embeddings.compare_part(data, data, True, b, cells, 0.995) for p in zip(i, j)]
+    want = {(a, b) for a in range(300) for b in range(a + 1, 300) if (unit[a] * unit[b]).sum() >= 0.995}
+    assert len(found) == len(set(found)) and set(found) == want and len(want) > 100
