@@ -331,7 +331,9 @@ def vector_links(
     def link(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         return _part_links(part, cells[int(key[0])], int(key[1]), single, min_cosine)
 
-    found = _parts(vectors, cells, sizes, part_rows).groupBy("dims", "block", "cell", "a", "b")
+    tasks = sum(h * (h + 1) // 2 + g * h for h, g in ((-(-x // part_rows), -(-y // part_rows)) for x, y in sizes.values()))
+    part = ["dims", "block", "cell", "a", "b"]
+    found = _parts(vectors, cells, sizes, part_rows).repartition(max(1, tasks), *part).groupBy(*part)  # parts are not merged
     return materialize(found.applyInPandas(link, "node long, links long, to long"), "vector-links")
 
 

@@ -272,10 +272,10 @@ def test_vectors_in_cells(spark):
     assert got == {i: (int(cosine[i].sum()) - 1, label[i]) for i in range(len(data))}
 
 
-@pytest.mark.parametrize("spread", [0.0001, 0.02])
+@pytest.mark.parametrize("spread", [0.001, 0.07])
 def test_dense_tiles_decide_as_single_pairs(spread):
     draw = np.random.default_rng(1)
-    data = (draw.standard_normal(48) + spread * 10 * draw.standard_normal((300, 48))).astype(np.float32)
+    data = (draw.standard_normal(48) + spread * draw.standard_normal((300, 48))).astype(np.float32)
     unit = embeddings._unit(data)
     cells = embeddings.fit_cells(48, 300, unit, 2, 0.995, 1000)
     found = [tuple(p) for b in range(2) for i, j in embeddings.compare_part(data, data, True, b, cells, 0.995) for p in zip(i, j)]
