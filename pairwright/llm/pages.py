@@ -14,6 +14,7 @@ import re
 import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -47,22 +48,76 @@ ENDS = {
     "th": (("td", "th"), ("tr", "table")),
 }
 
+# A quote delimits a value only after an equals sign; a tag that never ends takes the rest of the page.
 _MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"'<]+|\"[^\"<]*\"|'[^'<]*'|[\"'])*+)>", re.S
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
+    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"'=]+|=\s*\"[^\"]*\"|=\s*'[^']*'|[=\"'])*+)(?:>|\Z)",
+    re.S,
 )
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _NAME_WORD = re.compile(r"[a-z]{2,}")
 BUCKETS = 1 << 13
+WHOLE_PATH = 64  # ancestors of a training block that are kept one by one
+DEEP_PAGE = 200_000  # ancestors of all blocks together from which on a page does not teach
+OUTSIDE, MAIN, AFTER_MAIN = 0, 1, 2
+
+
+class Node:
+    """An element that blocks lie in: its tag and class words, its parent, and what it adds to its ancestors.
+
+    ``fresh`` are the feature names that no ancestor has, ``state`` what the markup says of the text inside (see
+    :func:`named_labels`). Blocks share their nodes, so a page costs time in proportion to its length at any depth.
+    """
+
+    __slots__ = ("tag", "words", "parent", "depth", "fresh", "state")
+
+    def __init__(self, tag: str, words: tuple[str, ...], parent: Node | None, fresh: tuple[str, ...]) -> None:
+        self.tag, self.words, self.parent, self.fresh = tag, words, parent, fresh
+        self.depth = parent.depth + 1 if parent else 1
+        before = parent.state if parent else OUTSIDE
+        if before == AFTER_MAIN:
+            self.state = AFTER_MAIN
+        elif tag in _MAIN_TAGS:
+            self.state = MAIN
+        elif before == MAIN and is_other(tag, words):
+            self.state = AFTER_MAIN
+        else:
+            self.state = before
+
+
+def _names(tag: str, words: tuple[str, ...]) -> list[str]:
+    return [f"tag {tag}", *(f"word {w}" for w in dict.fromkeys(words))]
 
 
 @dataclass(frozen=True)
 class Block:
-    """A leaf block: its text, its ancestors from the outermost (tag and class words), and the characters inside links."""
+    """A leaf block: its text, the innermost element it lies in, and the characters inside links."""
 
     text: str
-    path: tuple[tuple[str, tuple[str, ...]], ...]
+    node: Node | None
     link_chars: int
 
+    @property
+    def path(self) -> tuple[tuple[str, tuple[str, ...]], ...]:
+        """Ancestors from the outermost. Of more than ``WHOLE_PATH``, those between are left out that add no name."""
+        found, node = [], self.node
+        whole = node is None or node.depth <= WHOLE_PATH
+        while node:
+            if whole or node.fresh or node is self.node:
+                found.append((node.tag, node.words))
+            node = node.parent
+        return tuple(found[::-1])
+
+    @classmethod
+    def under(cls, text: str, path: tuple[tuple[str, tuple[str, ...]], ...], link_chars: int) -> Block:
+        """A block below the elements of a path."""
+        node, known = None, set()
+        for tag, words in path:
+            names = _names(tag, words)
+            node = Node(tag, words, node, tuple(n for n in names if n not in known))
+            known.update(names)
+        return cls(text, node, link_chars)
+
 
 def leaf_blocks(source: str) -> list[Block]:
     """Blocks of a page in page order. Character references are decoded, and white space is one space; none are empty.
@@ -71,8 +126,9 @@ def leaf_blocks(source: str) -> list[Block]:
     that hold no text of the page are left out.
     """
     blocks: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
-    open_tags: dict[str, int] = {}
+    stack: list[tuple[str, Node | None, list[str]]] = []  # tag, innermost element for text, its names
+    open_at: dict[str, list[int]] = {}  # places of open tags in the stack
+    named: dict[str, int] = {}  # names of open elements
     parts: list[str] = []
     links = 0
 
@@ -81,8 +137,7 @@ def leaf_blocks(source: str) -> list[Block]:
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                path = tuple(x for x in stack if x[0] in BLOCK or x[0] == "a")
-                blocks.append(Block(text, path, min(links, len(text))))
+                blocks.append(Block(text, stack[-1][1] if stack else None, min(links, len(text))))
             parts.clear()
         links = 0
 
@@ -91,23 +146,30 @@ def leaf_blocks(source: str) -> list[Block]:
         if text:
             text = html.unescape(text) if "&" in text else text
             parts.append(text)
-            if open_tags.get("a"):
+            if open_at.get("a"):
                 links += len(text)
 
-    def pop_to(name: str) -> None:
-        while stack:
-            tag, _ = stack.pop()
-            open_tags[tag] -= 1
-            if tag == name:
-                break
-
-    def end_open(names: tuple[str, ...], scope: tuple[str, ...]) -> None:
-        for tag, _ in reversed(stack):
-            if tag in names:
-                pop_to(tag)
-                return
-            if tag in scope:
-                return
+    def push(tag: str, words: tuple[str, ...]) -> None:
+        open_at.setdefault(tag, []).append(len(stack))
+        node, names = stack[-1][1] if stack else None, []
+        if tag in BLOCK or tag == "a":
+            names = _names(tag, words)
+            node = Node(tag, words, node, tuple(n for n in names if not named.get(n)))
+            for n in names:
+                named[n] = named.get(n, 0) + 1
+        stack.append((tag, node, names))
+
+    def pop_to(place: int) -> None:
+        while len(stack) > place:
+            tag, _, names = stack.pop()
+            open_at[tag].pop()
+            for n in names:
+                named[n] -= 1
+
+    def end_open(tags: tuple[str, ...], scope: tuple[str, ...]) -> None:
+        last = lambda names: max((open_at[n][-1] for n in names if open_at.get(n)), default=-1)
+        if (place := last(tags)) > last(scope):
+            pop_to(place)
 
     at = 0
     while match := _MARKUP.search(source, at):
@@ -120,8 +182,8 @@ def leaf_blocks(source: str) -> list[Block]:
         if match[1]:
             if name in BLOCK:
                 flush()
-            if open_tags.get(name):
-                pop_to(name)
+            if open_at.get(name):
+                pop_to(open_at[name][-1])
             continue
         if name in RAW:
             if not match[3].endswith("/"):
@@ -130,9 +192,8 @@ def leaf_blocks(source: str) -> list[Block]:
             continue
         if name in BLOCK:
             flush()
-            if open_tags.get("p"):
-                end_open(("p",), ("td", "th", "table", "button"))
-            if name in ENDS and any(open_tags.get(x) for x in ENDS[name][0]):
+            end_open(("p",), ("td", "th", "table", "button"))
+            if name in ENDS:
                 end_open(*ENDS[name])
         elif name == "br":
             parts.append(" ")
@@ -141,8 +202,7 @@ def leaf_blocks(source: str) -> list[Block]:
         words: tuple[str, ...] = ()
         if "=" in match[3]:
             words = tuple(w for found in _NAMES.findall(match[3]) for w in _NAME_WORD.findall("".join(found).lower()))
-        stack.append((name, words))
-        open_tags[name] = open_tags.get(name, 0) + 1
+        push(name, words)
     take(source[at:])
     flush()
     return blocks
@@ -152,18 +212,21 @@ def _bucket(n: float) -> int:
     return int(math.log2(n + 1))
 
 
-def block_features(blocks: list[Block], drop: frozenset[str] = frozenset()) -> list[list[int]]:
-    """Hashed features of each block; names in ``drop`` count as unknown."""
+@lru_cache(1 << 16)
+def _hash(name: str) -> int:
+    return zlib.crc32(name.encode()) % BUCKETS
+
+
+def text_features(blocks: list[Block]) -> list[list[int]]:
+    """Hashed features of each block but those of its ancestors' names."""
     rows = []
     for i, block in enumerate(blocks):
-        tags = {tag for tag, _ in block.path}
-        words = {w for _, ws in block.path for w in ws}
         text = block.text
         density = block.link_chars / len(text)
         ended = text[-1] in ".!?:;\"»”…"
-        features = ["bias", f"own {block.path[-1][0] if block.path else ''}"]
-        features += [f"tag {t}" for t in tags - drop] + [f"word {w}" for w in words - drop]
-        features += [
+        features = [
+            "bias",
+            f"own {block.node.tag if block.node else ''}",
             f"length {_bucket(len(text))}",
             f"words {_bucket(text.count(' '))} links {int(density * 4)}",
             f"links {int(density * 4)}",
@@ -173,7 +236,16 @@ def block_features(blocks: list[Block], drop: frozenset[str] = frozenset()) -> l
             f"place {4 * i // len(blocks)}",
             f"first {i == 0} last {i == len(blocks) - 1}",
         ]
-        rows.append([zlib.crc32(f.encode()) % BUCKETS for f in features])
+        rows.append([_hash(f) for f in features])
+    return rows
+
+
+def block_features(blocks: list[Block], drop: frozenset[str] = frozenset()) -> list[list[int]]:
+    """Hashed features of each block; names in ``drop`` count as unknown."""
+    rows = text_features(blocks)
+    for row, block in zip(rows, blocks):
+        names = dict.fromkeys(n for tag, words in block.path for n in _names(tag, words))
+        row += [_hash(n) for n in names if n.split(" ", 1)[1] not in drop]
     return rows
 
 
@@ -188,11 +260,26 @@ class BlockField:
     def scores(self, features: list[list[int]]) -> np.ndarray:
         return np.array([self.weights[f].sum(0) for f in features])
 
+    def page_scores(self, blocks: list[Block]) -> np.ndarray:
+        """Scores of a page's blocks. What its ancestors' names add is kept for each element and used by all inside."""
+        found = self.scores(text_features(blocks)).astype(np.float64)
+        known: dict[Node | None, np.ndarray] = {None: np.zeros(2)}
+        for i, block in enumerate(blocks):
+            chain, node = [], block.node
+            while node not in known:
+                chain.append(node)
+                node = node.parent
+            for node in reversed(chain):
+                above = known[node.parent]
+                known[node] = above + self.weights[[_hash(n) for n in node.fresh]].sum(0) if node.fresh else above
+            found[i] += known[block.node]
+        return found
+
     def decode(self, blocks: list[Block]) -> list[int]:
         """The most likely labels of a page, by Viterbi."""
         if not blocks:
             return []
-        scores = self.scores(block_features(blocks)).tolist()
+        scores = self.page_scores(blocks).tolist()
         (m00, m01), (m10, m11) = self.moves.tolist()
         a, b = self.start[0] + scores[0][0], self.start[1] + scores[0][1]
         back = []
@@ -261,18 +348,17 @@ _OTHER_TAGS = frozenset(("nav", "header", "footer", "aside", "form"))
 _OTHER_WORDS = frozenset(w for _, words in OTHER_NAMES for w in words)
 
 
+def is_other(tag: str, words: tuple[str, ...]) -> bool:
+    """Whether an element is named as something beside the main text."""
+    return tag in _OTHER_TAGS or not _OTHER_WORDS.isdisjoint(words)
+
+
 def named_labels(blocks: list[Block]) -> list[int] | None:
-    """Labels that the markup itself gives; None for a page that does not name its main part and another one."""
-    labels = []
-    for block in blocks:
-        label = 0
-        for tag, words in block.path:
-            if tag in _MAIN_TAGS:
-                label = 1
-            elif label and (tag in _OTHER_TAGS or _OTHER_WORDS & set(words)):
-                label = 0
-                break
-        labels.append(label)
+    """Labels that the markup itself gives; None for a page that does not name its main part and another one.
+
+    A block is main text in a main element, unless an element named as something else lies between.
+    """
+    labels = [int(block.node is not None and block.node.state == MAIN) for block in blocks]
     return labels if 0 < sum(labels) < len(labels) else None
 
 
@@ -283,19 +369,19 @@ def _renamed(block: Block, label: int, main: tuple, other: tuple) -> Block:
         if label and tag in _MAIN_TAGS and not done:
             path.append(main)
             done = True
-        elif not label and not done and (tag in _OTHER_TAGS or _OTHER_WORDS & set(words)):
+        elif not label and not done and is_other(tag, words):
             path.append(other)
             done = True
         else:
             path.append((tag, words))
-    return Block(block.text, tuple(path), block.link_chars)
+    return Block.under(block.text, tuple(path), block.link_chars)
 
 
 def page_examples(source: str, versions: int = 3) -> list[tuple[list[list[int]], list[int]]]:
     """Training pages from one page: as it is, and renamed with an inserted block of another part, some names dropped."""
     blocks = leaf_blocks(source)
     labels = named_labels(blocks)
-    if labels is None:
+    if labels is None or sum(b.node.depth if b.node else 0 for b in blocks) > DEEP_PAGE:
         return []
     found = [(block_features(blocks), labels)]
     draw = np.random.default_rng(zlib.crc32(source.encode("utf-8", "replace")))
@@ -307,7 +393,7 @@ def page_examples(source: str, versions: int = 3) -> list[tuple[list[list[int]],
         for i, x in enumerate(labels):  # lists, quotes, tables and headings are parts of main texts too
             if x and draw.random() < 0.3:
                 inner = INNER_NAMES[draw.integers(len(INNER_NAMES))]
-                changed[i] = Block(changed[i].text, (*changed[i].path[:-1], *((tag, ()) for tag in inner)), changed[i].link_chars)
+                changed[i] = Block.under(changed[i].text, (*changed[i].path[:-1], *((tag, ()) for tag in inner)), changed[i].link_chars)
         marks = list(labels)
         for _ in range(3):  # parts that read like the main text but are named as something else, inside it or beside
             name = OTHER_NAMES[draw.integers(len(OTHER_NAMES))]
@@ -315,7 +401,7 @@ def page_examples(source: str, versions: int = 3) -> list[tuple[list[list[int]],
             inside = draw.random() < 0.5
             path = (("html", ()), ("body", ()), *((main,) if inside else ()), name, ("p", ()))
             place = int(draw.integers(len(changed) + 1))
-            changed.insert(place, Block(kind.text, path, kind.link_chars))
+            changed.insert(place, Block.under(kind.text, path, kind.link_chars))
             marks.insert(place, 0)
         drop = frozenset(w for w in (main[0], *main[1]) if draw.random() < 0.3)
         found.append((block_features(changed, drop), marks))
@@ -351,10 +437,10 @@ BUILT_IN_PAGES = (
 )
 
 
-def learn_blocks(pages: DataFrame, key: str = "page_id", source: str = "html", sample_pages: int = 200) -> BlockField:
+def learn_blocks(pages: DataFrame, source: str = "html", sample_pages: int = 200) -> BlockField:
     """Train on at most ``sample_pages`` pages, chosen by hash from all of the table whose markup names its parts.
 
-    Where fewer than ``FEW_PAGES`` do, built-in example pages stand beside them. ``key`` bounds nothing any more.
+    Where fewer than ``FEW_PAGES`` do, built-in example pages stand beside them.
     """
 
     def named(value: str, wanted: Callable[[bool, str], bool]) -> Iterator[tuple[bool, str]]:

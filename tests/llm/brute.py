@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections import Counter
+from html.parser import HTMLParser
 
 import numpy as np
 import xxhash
@@ -148,3 +149,62 @@ def secret_spans(text):
     found += [(m.start(), 1, ("access", *m.span())) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
     found += [(m.start(), 2, ("hex", *m.span())) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
     return [span for _, _, span in sorted(found)]
+
+
+class MainText(HTMLParser):
+    """Text of article and main elements without the parts named as something else, by the standard library's parser."""
+
+    BLOCKS = set("article aside blockquote body dd div dl dt footer form h1 h2 h3 h4 head header html li main nav ol p pre section table td tr ul".split())
+    EMPTY = set("br hr img input link meta".split())
+    OTHER = set("nav header footer aside form".split())
+    NAMES = set("menu navbar sidebar ad ads advert banner promo cookie notice newsletter subscribe comments comment related share social".split())
+
+    def __init__(self, html):
+        super().__init__()
+        self.stack, self.blocks, self.parts, self.hidden = [], [], [], 0
+        self.feed(html)
+        self.close()
+        self.flush()
+
+    def flush(self):
+        text = " ".join("".join(self.parts).split())
+        if text:
+            self.blocks.append(text)
+        self.parts = []
+
+    def handle_starttag(self, tag, attrs):
+        if tag in ("script", "style", "title"):
+            self.hidden += 1
+        if tag in self.BLOCKS:
+            self.flush()
+        if tag == "br":
+            self.parts.append(" ")
+        if tag in self.EMPTY:
+            return
+        if tag in self.BLOCKS and self.stack and self.stack[-1][0] == "p" or tag == "li" and self.stack and self.stack[-1][0] == "li":
+            self.stack.pop()
+        names = set(re.findall("[a-z]{2,}", " ".join(v or "" for k, v in attrs if k in ("class", "id", "role")).lower()))
+        self.stack.append((tag, names))
+
+    def handle_endtag(self, tag):
+        if tag in ("script", "style", "title"):
+            self.hidden = max(0, self.hidden - 1)
+        if tag in self.BLOCKS:
+            self.flush()
+        if any(t == tag for t, _ in self.stack):
+            while self.stack.pop()[0] != tag:
+                pass
+
+    def handle_data(self, data):
+        inside = False
+        for tag, names in self.stack:
+            if tag in ("article", "main"):
+                inside = True
+            elif inside and (tag in self.OTHER or names & self.NAMES):
+                return
+        if inside and not self.hidden:
+            self.parts.append(data)
+
+
+def main_text(html):
+    return "\n".join(MainText(html or "").blocks)
