@@ -11,8 +11,10 @@ from __future__ import annotations
 import math
 import re
 import zlib
-from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from array import array
+from collections import deque
+from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
@@ -26,7 +28,7 @@ from pairwright.llm.common import SPANS, Span, labelled_samples, span_check, spa
 KINDS = ("email", "ip", "card", "phone")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
-_IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+_IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")  # a match can only start where a number does
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 CARD_DIGITS, PHONE_DIGITS, IP_PART = (13, 19), (9, 15), 255
@@ -34,7 +36,7 @@ CARD_DIGITS, PHONE_DIGITS, IP_PART = (13, 19), (9, 15), 255
 _TOKEN = re.compile(r"[^\W\d_]+|[0-9]+|\s+|.", re.S)
 _TRIGGER = re.compile(r"[0-9@]|\b(?i:dot)\b")
 _DIGIT = re.compile(r"[0-9]")
-NEAR = 8  # tokens on either side of a trigger that belong to its window
+BEHIND = 3  # tokens before a span that its candidates and features look at, at most
 SPAN_TOKENS = 40  # the longest entity: a name of four parts at a host of four labels, all marks in brackets
 _WORDS_INSIDE = ("at", "dot")
 VERSIONS = 4  # rewritten versions of each training window
@@ -89,113 +91,164 @@ def base_pii(text: str) -> list[Span]:
 # --- the lattice --------------------------------------------------------------------------------------------------------
 
 
-@dataclass
-class Window:
-    """Tokens around triggers, as (text, start, end) in the text, and the candidate spans as token ranges."""
-
-    tokens: list[tuple[str, int, int]]
-    spans: list[tuple[int, int]]
+Token = tuple[str, int, int]  # text, start, end
+#: What tells spans apart: shape, digits, longest run, runs, whether four small numbers, check sum, neighbours.
+Look = tuple[str, int, int, int, bool, bool, str, str]
+LOOKS = 1 << 17  # scored looks that a scan remembers
+FLUSH = 4_096  # tokens from which on a segmentation is settled where no span crosses
 
 
-def _windows(text: str) -> Iterator[Window]:
-    """Windows of a whole text. Tokens are read around triggers only, and near windows are one."""
-    ranges: list[list[int]] = []
+def _windows(text: str) -> Iterator[Iterator[Token]]:
+    """Tokens around the triggers of a whole text, window by window; near windows are one."""
     reach = 48  # characters that hold the tokens of a window's margin
+    low = high = -1
     for m in _TRIGGER.finditer(text):
-        low, high = max(0, m.start() - reach), min(len(text), m.end() + reach)
-        if ranges and low <= ranges[-1][1]:
-            ranges[-1][1] = high
-        else:
-            ranges.append([low, high])
-    for low, high in ranges:
-        while low > 0 and text[low - 1].isalnum() and low > 0:
+        if m.start() - reach <= high:
+            high = max(high, min(len(text), m.end() + reach))
+            continue
+        if high >= 0:
+            while high < len(text) and text[high].isalnum():
+                high += 1
+            if m.start() - reach <= high:
+                high = max(high, min(len(text), m.end() + reach))
+                continue
+            yield _tokens(text, low, high)
+        before, low, high = high, max(0, m.start() - reach), min(len(text), m.end() + reach)
+        while low > max(before, 0) and text[low - 1].isalnum():
             low -= 1
+    if high >= 0:
         while high < len(text) and text[high].isalnum():
             high += 1
-        tokens = [(m[0], low + m.start(), low + m.end()) for m in _TOKEN.finditer(text[low:high])]
-        yield Window(tokens, _candidates(tokens))
+        yield _tokens(text, low, high)
+
+
+def _tokens(text: str, low: int, high: int) -> Iterator[Token]:
+    for m in _TOKEN.finditer(text, low, high):
+        yield m[0], m.start(), m.end()
+
 
+def _token_kind(t: str) -> str:
+    if t[0].isdigit() and t[0].isascii():
+        return "9"
+    if t.isspace():
+        return "n" if "\n" in t else " "
+    if t.isalpha():
+        return "k" if t.lower() in _WORDS_INSIDE else "a"
+    return t
 
-def _joins(kinds: list[str], at: int) -> bool:
+
+def _joins(kinds: Sequence[str], at: int) -> bool:
     """Whether the token is an at sign, "at" or "dot", or the bracket that closes one of these words."""
     if at < 0:
         return False
     return kinds[at] in "k@" or (at > 1 and kinds[at - 1] == "k" and kinds[at - 2] + kinds[at] in ("()", "[]"))
 
 
-def _candidates(tokens: list[tuple[str, int, int]]) -> list[tuple[int, int]]:
-    """Token ranges that may be entities: they hold a digit, an at sign or "dot", and no run of plain words."""
-    spans = []
-    kinds = []
-    for t, _, _ in tokens:
-        if t[0].isdigit() and t[0].isascii():
-            kinds.append("9")
-        elif t.isspace():
-            kinds.append("n" if "\n" in t else " ")
-        elif t.isalpha():
-            kinds.append("k" if t.lower() in _WORDS_INSIDE else "a")
-        else:
-            kinds.append(t)
-    for i, first in enumerate(kinds):
-        if first in " n" or first in ".,;:!?)|#*$%&":
-            continue
-        anchored = False
-        for j in range(i, min(len(kinds), i + SPAN_TOKENS)):
-            kind = kinds[j]
-            if kind in "n#*$%&|!?;\"":
-                break
-            if kind == "a" and j > i and kinds[j - 1] == " " and not _joins(kinds, j - 2):
-                break  # a plain word after a space, but for one that follows "at", "(at)", "[at]", "@" or the like for "dot"
-            anchored = anchored or kind in "9@" or (kind == "k" and tokens[j][0].lower() == "dot")
-            if anchored and kind in "9ak" and j > i:
-                spans.append((i, j + 1))
-    return spans
+def _edge(t: str) -> str:
+    return " " if t.isspace() or t in "^$" else "9" if t[0].isdigit() else "a" if t.isalpha() else t[0]
 
 
-_SHAPES = ((re.compile(r"[0-9]+"), "9"), (re.compile(r"[^\W\d_]+"), "a"), (re.compile(r"\s+"), " "))
+def _spans_from(tokens: Sequence[Token], kinds: Sequence[str], i: int) -> Iterator[tuple[int, Look]]:
+    """Ends and looks of the spans from a token on that may be entities.
 
+    They hold a digit, an at sign or "dot", and no run of plain words. The look of a longer span is made from the shorter one.
+    """
+    if kinds[i] in " n" or kinds[i] in ".,;:!?)|#*$%&":
+        return
+    before = _edge(tokens[i - 1][0] if i else "^")
+    anchored, quads = False, True
+    shape, digits, runs, longest = "", "", 0, 0
+    for j in range(i, min(len(kinds), i + SPAN_TOKENS)):
+        kind, token = kinds[j], tokens[j][0]
+        if kind in "n#*$%&|!?;\"":
+            return
+        if kind == "a" and j > i and kinds[j - 1] == " " and not _joins(kinds, j - 2):
+            return  # a plain word after a space, but for one that follows "at", "(at)", "[at]", "@" or the like for "dot"
+        if j > i and kinds[j - 1] == "k" and (kind == "9" or token == "_"):
+            shape = shape[:-1] + "a"  # part of a longer name, so no "at" or "dot"
+        if kind == "9":
+            anchored, shape, digits, runs = True, shape + "9", digits + token, runs + 1
+            longest = max(longest, len(token))
+            quads = quads and int(token[:4]) <= IP_PART
+        elif kind == "k":
+            dot = token.lower() == "dot"
+            named = j > i and (kinds[j - 1] == "9" or tokens[j - 1][0] == "_")
+            anchored, shape = anchored or dot, shape + ("a" if named else "." if dot else "@")
+        else:
+            anchored, shape = anchored or kind == "@", shape + (kind if kind in " a" else token)
+        if anchored and kind in "9ak" and j > i:
+            after = _edge(tokens[j + 1][0] if j + 1 < len(tokens) else "$")
+            n = len(digits)
+            check = CARD_DIGITS[0] <= n <= CARD_DIGITS[1] and luhn(digits)
+            yield j + 1, (shape, n, longest, runs, quads and runs == 4, check, before, after)
 
-def _span_features(window: Window, i: int, j: int) -> list[int]:
+
+def _look_features(look: Look) -> list[int]:
     """Hashed features of a whole span and its neighbours."""
-    tokens = window.tokens
-    parts = [t for t, _, _ in tokens[i:j]]
-    text = "".join(parts)
-    shape = re.sub(r"(?ai:\bat\b)", "@", re.sub(r"(?ai:\bdot\b)", ".", text))
-    for pattern, sign in _SHAPES:
-        shape = pattern.sub(sign, shape)
-    digits = _digits(text)
-    before, after = (tokens[i - 1][0] if i else "^"), (tokens[j][0] if j < len(tokens) else "$")
-    edge = lambda t: " " if t.isspace() or t in "^$" else "9" if t[0].isdigit() else "a" if t.isalpha() else t[0]
-    runs = [len(p) for p in parts if p.isdigit()]
-    quads = len(runs) == 4 and all(p and int(p[:4]) <= IP_PART for p in parts if p.isdigit())
+    shape, digits, longest, runs, quads, check, before, after = look
     features = [
         f"shape {shape[:24]}",
         f"bare {re.sub(r'[^9a@]', '', shape)[:16]}",
         f"marks {''.join(sorted(set(re.sub(r'[9a ]', '', shape))))}",
-        f"digits {min(len(digits), 20)}",
-        f"runs {min(len(runs), 6)}",
-        f"longest {min(max(runs, default=0), 20)}",
+        f"digits {min(digits, 20)}",
+        f"runs {min(runs, 6)}",
+        f"longest {min(longest, 20)}",
         f"quads {quads}",
-        f"luhn {CARD_DIGITS[0] <= len(digits) <= CARD_DIGITS[1] and luhn(digits)} {len(digits) > 12}",
+        f"luhn {check} {digits > 12}",
         f"at {'@' in shape} dots {min(shape.count('.'), 4)}",
-        f"first {shape[:1]} digits {len(digits) // 4}",
-        f"before {edge(before)}",
-        f"after {edge(after)}",
-        f"around {edge(before)}{edge(after)} {len(digits) // 4}",
+        f"first {shape[:1]} digits {digits // 4}",
+        f"before {before}",
+        f"after {after}",
+        f"around {before}{after} {digits // 4}",
         "span",
     ]
-    return [zlib.crc32(f.encode()) % BUCKETS for f in features]
+    return [zlib.crc32(f.encode("utf-8", "replace")) % BUCKETS for f in features]
 
 
-def _token_features(token: str) -> list[int]:
+def _token_look(token: str) -> str:
     kind = "9" if token[0].isdigit() else " " if token.isspace() else "a" if token.isalpha() else token[0]
-    length = f"{kind}{min(len(token), 20) if kind == '9' else ''}"
-    return [zlib.crc32(f"token {f}".encode()) % BUCKETS for f in (kind, length)]
+    return f"{kind}{min(len(token), 20) if kind == '9' else ''}"
 
 
-def _features(window: Window) -> tuple[np.ndarray, np.ndarray]:
-    spans = np.array([_span_features(window, i, j) for i, j in window.spans], int).reshape(len(window.spans), -1)
-    return spans, np.array([_token_features(t) for t, _, _ in window.tokens], int).reshape(len(window.tokens), -1)
+def _token_features(look: str) -> list[int]:
+    return [zlib.crc32(f"token {f}".encode("utf-8", "replace")) % BUCKETS for f in (look[0], look)]
+
+
+@dataclass
+class Lattice:
+    """A training window: its tokens, candidate spans as token ranges, and features of both."""
+
+    tokens: list[Token]
+    spans: list[tuple[int, int]]
+    span_features: np.ndarray
+    token_features: np.ndarray
+
+    @classmethod
+    def of(cls, window: Iterator[Token]) -> Lattice:
+        tokens = list(window)
+        kinds = [_token_kind(t) for t, _, _ in tokens]
+        found = [(i, j, look) for i in range(len(tokens)) for j, look in _spans_from(tokens, kinds, i)]
+        features = np.array([_look_features(look) for _, _, look in found], int)
+        outside = np.array([_token_features(_token_look(t)) for t, _, _ in tokens], int)
+        return cls(tokens, [(i, j) for i, j, _ in found], features, outside)
+
+
+class _Path:
+    """The best segmentation of a window so far, as flat arrays: a few bytes a token, whatever the window's length."""
+
+    def __init__(self) -> None:
+        self.restart()
+
+    def restart(self) -> None:
+        self.best, self.total = array("d", [0.0]), array("d", [0.0])  # of segmentations up to a token; of tokens outside
+        self.top, self.start, self.kind = array("d", [-math.inf]), array("q", [-1]), array("b", [0])  # best span to a token
+        self.places = array("q")
+
+    def grow(self, size: int) -> None:
+        while len(self.top) <= size:
+            self.top.append(-math.inf)
+            self.start.append(-1)
+            self.kind.append(0)
 
 
 @dataclass(frozen=True)
@@ -203,49 +256,100 @@ class SegmentField:
     """Weights by feature: a column for each kind of span, and one for outside tokens."""
 
     weights: np.ndarray
+    looks: dict = field(default_factory=dict, compare=False, repr=False)
 
     def scores(self, spans: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         k = len(KINDS)
         inside = self.weights[spans, :k].sum(1) if len(spans) else np.zeros((0, k))
         return inside, self.weights[tokens, k].sum(1)
 
-    def decode(self, window: Window, min_margin: float) -> list[tuple[str, int, int]]:
-        """The best segmentation. Spans that beat their tokens outside by less than the margin are left out."""
-        if not window.spans:
-            return []
-        inside, outside = self.scores(*_features(window))
-        n = len(window.tokens)
-        ends: list[list[int]] = [[] for _ in range(n + 1)]
-        for s, (_, j) in enumerate(window.spans):
-            ends[j].append(s)
-        kinds, tops = inside.argmax(1), inside.max(1)
-        best, back = [0.0] + [0.0] * n, [None] * (n + 1)
-        for j in range(1, n + 1):
-            best[j] = best[j - 1] + float(outside[j - 1])
-            for s in ends[j]:
-                value = best[window.spans[s][0]] + float(tops[s])
-                if value > best[j]:
-                    best[j], back[j] = value, s
-        total = np.concatenate([[0.0], np.cumsum(outside)])
-        found, at = [], n
-        while at > 0:
-            if back[at] is None:
-                at -= 1
-                continue
-            s = back[at]
-            i, j = window.spans[s]
-            if tops[s] - (total[j] - total[i]) >= min_margin:
-                found.append((KINDS[int(kinds[s])], window.tokens[i][1], window.tokens[j - 1][2]))
-            at = i
-        return found[::-1]
+    def _inside(self, look: Look) -> tuple[int, float]:
+        """The best kind of a span and its score; spans of one look share it."""
+        if (known := self.looks.get(look)) is None:
+            if len(self.looks) >= LOOKS:
+                self.looks.clear()
+            values = self.weights[_look_features(look), : len(KINDS)].sum(0)
+            known = self.looks[look] = (int(values.argmax()), float(values.max()))
+        return known
+
+    def _outside(self, token: str) -> float:
+        look = _token_look(token)
+        if (known := self.looks.get(look)) is None:
+            known = self.looks[look] = float(self.weights[_token_features(look), len(KINDS)].sum())
+        return known
+
+    def decode(self, window: Iterator[Token], min_margin: float) -> Iterator[tuple[str, int, int]]:
+        """The best segmentation. Spans that beat their tokens outside by less than the margin are left out.
+
+        Tokens are read once. A span has at most ``SPAN_TOKENS`` tokens, so no more are looked at together, and where no
+        span crosses a token's start what lies before is settled.
+        """
+        path = _Path()
+        ahead: deque[Token] = deque()  # a few tokens before the current one, that one, and those its spans may reach
+        kinds: deque[str] = deque()
+        window = iter(window)
+        at, reach, done = 0, 0, False
+
+        def settle() -> list[tuple[str, int, int]]:
+            found, j = [], len(path.best) - 1
+            while j > 0:
+                i = path.start[j]
+                if i < 0:
+                    j -= 1
+                    continue
+                if path.top[j] - (path.total[j] - path.total[i]) >= min_margin:
+                    found.append((KINDS[path.kind[j]], path.places[2 * i], path.places[2 * j - 1]))
+                j = i
+            return found[::-1]
+
+        behind = 0  # tokens before the current one in ``ahead``
+        while True:
+            while not done and len(ahead) < behind + SPAN_TOKENS + 1:
+                token = next(window, None)
+                if token is None:
+                    done = True
+                else:
+                    ahead.append(token)
+                    kinds.append(_token_kind(token[0]))
+            if len(ahead) <= behind:
+                break
+            if at >= FLUSH and reach <= at:
+                yield from settle()
+                path.restart()
+                at = reach = 0
+            near, known = list(ahead), list(kinds)
+            for end, look in _spans_from(near, known, behind):
+                kind, value = self._inside(look)
+                j = at + end - behind
+                reach = max(reach, j)
+                path.grow(j)
+                if (value := path.best[at] + value) > path.top[j]:
+                    path.top[j], path.start[j], path.kind[j] = value, at, kind
+            text, start, stop = near[behind]
+            path.places.extend((start, stop))
+            outside = self._outside(text)
+            path.total.append(path.total[at] + outside)
+            path.grow(at + 1)
+            apart = path.best[at] + outside
+            if path.top[at + 1] > apart:
+                path.best.append(path.top[at + 1])
+                path.top[at + 1] -= path.best[path.start[at + 1]]  # from now on the span's own score
+            else:
+                path.best.append(apart)
+                path.start[at + 1] = -1
+            at += 1
+            if behind == BEHIND:
+                ahead.popleft()
+                kinds.popleft()
+            else:
+                behind += 1
+        yield from settle()
 
     def added(self, text: str, base: list[Span], min_margin: float = 2.0) -> list[Span]:
         """Spans of the field that overlap no base span."""
-        found = []
+        found, in_base = [], span_check(base)
         for window in _windows(text):
-            for kind, start, end in self.decode(window, min_margin):
-                if not any(s < end and start < e for _, s, e in base):
-                    found.append((kind, start, end))
+            found += [span for span in self.decode(window, min_margin) if not in_base(span[1], span[2])]
         return found
 
 
@@ -254,7 +358,7 @@ def _log_sum(values: list[float]) -> float:
     return top + math.log(sum(math.exp(v - top) for v in values))
 
 
-def _posteriors(window: Window, inside: np.ndarray, outside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _posteriors(window: Lattice, inside: np.ndarray, outside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Forward and backward sums over all segmentations: probability of each span and kind, and of each outside token."""
     n = len(window.tokens)
     ends: list[list[int]] = [[] for _ in range(n + 1)]
@@ -288,14 +392,14 @@ def train_field(
     data = []
     for text, spans in examples:
         known: set[tuple[int, int]] = set()
-        for window in _windows(text):
+        for window in map(Lattice.of, _windows(text)):
             places = {(window.tokens[i][1], window.tokens[j - 1][2]): s for s, (i, j) in enumerate(window.spans)}
             known |= places.keys()
             first, last = (window.tokens[0][1], window.tokens[-1][2]) if window.tokens else (0, 0)
             lost = any(start < last and first < end and (start, end) not in places for _, start, end in spans)
             if lost or not window.spans:
                 continue
-            features = _features(window)
+            features = window.span_features, window.token_features
             gold = np.zeros((len(window.spans), k))
             out = np.ones(len(window.tokens))
             for kind, start, end in spans:
@@ -363,12 +467,9 @@ def training_examples(text: str, spans: list[Span], choice: int) -> list[tuple[s
 
 
 def learn_field(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", sample_docs: int = 20_000, sample_windows: int = 250
+    docs: DataFrame, text: str = "text", sample_windows: int = 250
 ) -> SegmentField:
-    """Train on at most ``sample_windows`` windows with and without base spans each, chosen by hash from all documents.
-
-    ``sample_docs`` and ``key`` bound nothing any more: spans may be in few documents.
-    """
+    """Train on at most ``sample_windows`` windows with and without base spans each, chosen by hash from all documents."""
     margin = 60
 
     def cut(value: str, wanted: Callable[[bool, str], bool]) -> Iterator[tuple[bool, str]]:

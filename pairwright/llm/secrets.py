@@ -12,7 +12,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -90,22 +90,30 @@ class RandomnessTest:
     random: CharModel
     ordinary: CharModel
     bound: float
+    known: dict[tuple[str, str], float] = field(default_factory=dict, compare=False, repr=False)
+
+    def step(self, trigram: tuple[str, str]) -> float:
+        """Log-likelihood ratio of a character after its context; there are few, so each is kept."""
+        if (value := self.known.get(trigram)) is None:
+            value = self.random.log_probability(*trigram) - self.ordinary.log_probability(*trigram)
+            self.known[trigram] = value
+        return value
 
     def ratio(self, word: str) -> float:
         """Mean log-likelihood ratio of a string: positive if it is more like a random one."""
-        steps = [self.random.log_probability(c, x) - self.ordinary.log_probability(c, x) for c, x in _trigrams(word)]
-        return sum(steps) / len(steps) if steps else -math.inf
+        total, count = 0.0, 0
+        for trigram in _trigrams(word):
+            total, count = total + self.step(trigram), count + 1
+        return total / count if count else -math.inf
 
     def added(self, text: str, base: list[Span]) -> list[Span]:
         """Further spans of a text that overlap no base span."""
         if not _DIGIT.search(text):
             return []
-        found = []
+        found, in_base = [], span_check(base)
         for m in _CANDIDATE.finditer(text):
             word = m[0]
-            if not (_DIGIT.search(word) and _LETTER.search(word)):
-                continue
-            if any(start < m.end() and m.start() < end for _, start, end in base):
+            if in_base(m.start(), m.end()) or not (_DIGIT.search(word) and _LETTER.search(word)):
                 continue
             if self.ratio(word) > self.bound:
                 found.append(("markov", m.start(), m.end()))
@@ -143,12 +151,9 @@ def fit_randomness(random: list[str], ordinary: list[str], margin: float = 0.5,
 
 
 def learn_randomness(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", sample_docs: int = 10_000, sample_strings: int = 20_000
+    docs: DataFrame, text: str = "text", sample_strings: int = 20_000
 ) -> RandomnessTest:
-    """Fit the test on at most ``sample_strings`` strings of each label, chosen by hash from those of all documents.
-
-    ``sample_docs`` and ``key`` bound nothing any more: labels may be in few documents.
-    """
+    """Fit the test on at most ``sample_strings`` strings of each label, chosen by hash from those of all documents."""
 
     def label(value: str, wanted: Callable[[bool, str], bool]) -> Iterator[tuple[bool, str]]:
         spans = base_secrets(value)

@@ -1,6 +1,8 @@
 """Operators on single texts: quality rules, line dedup, tokens, personal data, secrets."""
 
 import hashlib
+import time
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -115,7 +117,7 @@ def test_base_spans_equal_plain_ones(edge_rows):
 
 def test_pii_field_finds_rewritten_data_and_keeps_base(spark, edge_docs, edge_rows, no_docs):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
-    field = pii.learn_field(docs.select("doc_id", "text"), sample_docs=4000, sample_windows=120)
+    field = pii.learn_field(docs.select("doc_id", "text"), sample_windows=120)
     for text, kind in (
         ("please write to jane.doe at example dot org soon", "email"),
         ("card 4111.1111.1111.1111 was used", "card"),
@@ -135,8 +137,9 @@ def test_pii_field_finds_rewritten_data_and_keeps_base(spark, edge_docs, edge_ro
 
 def test_segmentation_is_the_best_of_all():
     field = pii.SegmentField(np.random.default_rng(1).normal(size=(pii.BUCKETS, len(pii.KINDS) + 1)))
-    [window] = pii._windows("call 12 34.5 at 7")
-    inside, outside = field.scores(*pii._features(window))
+    text = "call 12 34.5 at 7"
+    [window] = map(pii.Lattice.of, pii._windows(text))
+    inside, outside = field.scores(window.span_features, window.token_features)
 
     def best(at):
         if at == len(window.tokens):
@@ -145,7 +148,7 @@ def test_segmentation_is_the_best_of_all():
         options += [inside[s].max() + best(j) for s, (i, j) in enumerate(window.spans) if i == at]
         return max(options)
 
-    spans = field.decode(window, -np.inf)
+    spans = list(field.decode(next(pii._windows(text)), -np.inf))
     places = {(window.tokens[i][1], window.tokens[j - 1][2]): s for s, (i, j) in enumerate(window.spans)}
     covered, total = set(), 0.0
     for _, start, end in spans:
@@ -182,3 +185,73 @@ def test_digests_of_queries(spark, tmp_path, edge_docs, edge_rows):
     want = [(k, brute.digest(brute.secret_spans(t))) for k, t, _ in edge_rows]
     assert by_text((r.doc_id, r.base_sha256) for r in rows) == by_text(want)
     assert hashlib.sha256(b"").hexdigest() in {r.base_sha256 for r in rows}
+
+
+@pytest.mark.parametrize("flush", [1, 4096])
+def test_streamed_segmentation_equals_whole_lattice(monkeypatch, flush):
+    """Reading tokens once, with few of them at hand, gives the best segmentation of the whole window."""
+    monkeypatch.setattr(pii, "FLUSH", flush)
+    draw = np.random.default_rng(7)
+    field = pii.SegmentField(draw.normal(size=(pii.BUCKETS, len(pii.KINDS) + 1)))
+    pieces = ["12", " ", ".", "-", "at", " at ", "dot", "_", "@", "(", ")", "[", "]", "word", "9", "\n", "4111", "²", "é", "AT", "dots"]
+    for _ in range(60):
+        text = "7" + "".join(draw.choice(pieces, 50)) + "8"
+        for tokens in pii._windows(text):
+            kept = list(tokens)
+            window = pii.Lattice.of(iter(kept))
+            if not window.spans:
+                continue
+            inside, outside = field.scores(window.span_features, window.token_features)
+            n = len(kept)
+            best, back = [0.0] * (n + 1), [-1] * (n + 1)
+            for j in range(1, n + 1):
+                best[j] = best[j - 1] + outside[j - 1]
+                for s, (i, end) in enumerate(window.spans):
+                    if end == j and best[i] + inside[s].max() > best[j]:
+                        best[j], back[j] = best[i] + inside[s].max(), s
+            want, j = [], n
+            while j:
+                s = back[j]
+                if s < 0:
+                    j -= 1
+                    continue
+                i = window.spans[s][0]
+                if inside[s].max() - outside[i:j].sum() >= 1.0:
+                    want.append((pii.KINDS[inside[s].argmax()], kept[i][1], kept[j - 1][2]))
+                j = i
+            assert list(field.decode(iter(kept), 1.0)) == want[::-1]
+
+
+LONG_TEXTS = {
+    "digits": "7" * 1_000_000,
+    "numbers": "4111 1111 " * 30_000,
+    "lines of numbers": "12 7.5 300-22\n" * 20_000,
+    "addresses": "jo.lee at mail dot org, " * 42_000,
+    "marked addresses": "jo.lee@mail.org 10.0.0.1 " * 40_000,
+    "run then dots": "1" * 200_000 + ".2" * 60_000,
+    "sparse digits": ("a" * 200 + "1") * 5_000,
+}
+
+
+@pytest.mark.parametrize("name", LONG_TEXTS)
+def test_long_texts_take_linear_time_and_little_memory(name):
+    text = LONG_TEXTS[name]
+    field = pii.SegmentField(np.random.default_rng(2).normal(size=(pii.BUCKETS, len(pii.KINDS) + 1)).astype("float32"))
+    begun = time.process_time()
+    field.added(text, pii.base_pii(text))
+    assert time.process_time() - begun < 60
+    tracemalloc.start()
+    field.added(text[:200_000], pii.base_pii(text[:200_000]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60 << 20  # of a fifth of the text
+
+
+@pytest.mark.parametrize("part", ["password = hunter22x ", "AKIA" + "Z7" * 10 + " ", "token: " + "q9Wx" * 8 + "\n", "9f" * 20 + " x1" * 8 + " ", "aB3" * 9 + " "])
+def test_long_texts_of_keys(part):
+    text = part * (1_000_000 // len(part))
+    test = secrets.fit_randomness(["q9WxZ7Kp2Lm"], ["ordinary", "words"])
+    begun = time.process_time()
+    test.added(text, secrets.base_secrets(text))
+    test.added(part.strip().replace(" ", "") * 30_000, [])
+    assert time.process_time() - begun < 60

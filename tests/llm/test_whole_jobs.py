@@ -33,15 +33,19 @@ def test_parts_of_one_chunk_stand_any_order():
     draw = np.random.default_rng(8)
     base = draw.standard_normal((6, 16))
     data = [(base[i % 6] + 0.05 * draw.standard_normal(16)).astype("<f8").tobytes() for i in range(60)]
-    side = pd.DataFrame({"node": np.arange(100, 160), "n": draw.integers(1, 4, 60), "data": data})
-    for b in (0, 1):  # one chunk with itself, and two chunks
-        other = side if b == 0 else side.assign(node=side["node"] + 100)
-        want = embeddings._part_links((16, 0, 0, 0, b), side, other, 1, 0.9)
+    side = pd.DataFrame({"node": np.arange(100, 160), "n": draw.integers(1, 4, 60), "data": data, "side": 0, "a": 0, "b": 0})
+    cells = embeddings.fit_cells(16, 60, np.zeros((0, 16)), 1, 0.9, 100)
+    parts = {
+        "one chunk with itself": side,
+        "two chunks": pd.concat([side, side.assign(node=side["node"] + 100, side=1)]).assign(b=1),
+        "homes and guests": pd.concat([side, side.assign(node=side["node"] + 100, side=1)]),
+    }
+    for part in parts.values():
+        want = embeddings._part_links(part, cells, 0, False, 0.9)
         for seed in range(3):
-            mixed = side.sample(frac=1, random_state=seed), other.sample(frac=1, random_state=seed + 10)
-            got = embeddings._part_links((16, 0, 0, 0, b), *mixed, 1, 0.9)
+            got = embeddings._part_links(part.sample(frac=1, random_state=seed), cells, 0, False, 0.9)
             assert sorted(got.itertuples(index=False)) == sorted(want.itertuples(index=False))
-    counts = dict(zip(*embeddings._part_links((16, 0, 0, 0, 0), side, side, 1, 0.9)[["node", "links"]].values.T))
+    counts = dict(zip(*embeddings._part_links(side, cells, 0, False, 0.9)[["node", "links"]].values.T))
     unit = np.stack([np.frombuffer(d, "<f8") for d in data])
     unit /= np.linalg.norm(unit, axis=1, keepdims=True)
     near = (unit @ unit.T >= 0.9) & ~np.eye(60, dtype=bool)
@@ -74,10 +78,10 @@ def test_rare_labels_are_found_in_all_rows(spark, monkeypatch):
     seen = {}
     monkeypatch.setattr(pii, "train_field", lambda examples: seen.update(pii=examples))
     monkeypatch.setattr(secrets, "fit_randomness", lambda random, ordinary: seen.update(random=random, ordinary=ordinary))
-    pii.learn_field(docs, sample_docs=10, sample_windows=20)
+    pii.learn_field(docs, sample_windows=20)
     assert sum(bool(spans) for _, spans in seen["pii"]) == 3 * (1 + pii.VERSIONS)
     assert sum(not spans for _, spans in seen["pii"]) == 20
-    secrets.learn_randomness(docs, sample_docs=10, sample_strings=5)
+    secrets.learn_randomness(docs, sample_strings=5)
     assert sorted(seen["random"]) == [f"abcdef{i}x" for i in range(3)] and len(seen["ordinary"]) == 5
     divs = [(i, f"<div><p>page {i}</p></div>", "") for i in range(2000)]
     named = [(3000 + i, PAGE.replace("Great", f"Great {i}"), "") for i in range(30)]
