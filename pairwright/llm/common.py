@@ -45,6 +45,16 @@ def free_name(df: DataFrame, *names: str) -> list[str]:
     return found
 
 
+def result_name(df: DataFrame, name: str) -> str:
+    """Name of a result column: as asked for, with underscores before it where the frame has one of that name."""
+    return free_name(df, name)[0]
+
+
+def columns_of(df: DataFrame) -> list[Column]:
+    """All columns of a frame, whatever characters their names have."""
+    return [F.col(f"`{name.replace('`', '``')}`") for name in df.columns]
+
+
 SPANS = T.ArrayType(
     T.StructType(
         [

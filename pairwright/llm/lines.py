@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
-from pairwright.llm.common import SPACES, free_name, text_key
+from pairwright.llm.common import SPACES, columns_of, free_name, result_name, text_key
 from pairwright.session import materialize, remove, scratch_path
 
 RUN_SCHEMA = "k1 long, k2 long, n long"
@@ -104,7 +104,7 @@ class LineRuns:
         merged = self._read(old).groupBy("k1", "k2").agg(F.sum("n").alias("n"))
         path = self._write(merged, "line-merge")
         rows = self._read([path])
-        self.frequent.append(self._write(rows.where(F.col("n") >= self.min_docs).coalesce(4), "line-frequent"))
+        self.frequent.append(self._write(rows.where(F.col("n") >= self.min_docs), "line-frequent"))
         if level + 1 == len(self.levels):
             self.levels.append([])
         self.levels[level + 1].append(self._write(rows.where(F.col("n") < self.min_docs), "line-run"))
@@ -190,9 +190,11 @@ def drop_frequent_lines(
     """Add a struct (text, n_lines, n_dropped): each text without the lines whose key is in ``min_docs`` documents.
 
     A document counts once for a key, each row is a document (repeated rows count), and empty keys are never dropped. A
-    null text is one empty line and stays null; a text that loses all its lines becomes empty. Frequent keys are sent to
+    null text is one empty line and stays null; a text that loses all its lines becomes empty. The struct is the last column; a
+    name in use gets underscores before it. Frequent keys are sent to
     the tasks when there are at most ``broadcast_keys`` of them. Otherwise texts join the keys that hit them, by text.
     """
+    result = result_name(docs, result)
     spark = docs.sparkSession
     path = scratch_path(spark, "line-batches")
     batch_counts(docs, key, text, batches, min_chars).write.partitionBy("batch").parquet(path)
@@ -215,4 +217,4 @@ def drop_frequent_lines(
     t1, t2 = text_key(text)
     hits = hits.select(F.col("t1").alias(a), F.col("t2").alias(b), F.col("hits").alias(c))
     joined = docs.withColumn(a, t1).withColumn(b, t2).join(hits, [a, b], "left")
-    return joined.withColumn(result, _with_hits(min_chars)(F.col(f"`{text}`"), F.col(c))).select(*docs.columns, result)
+    return joined.withColumn(result, _with_hits(min_chars)(F.col(f"`{text}`"), F.col(c))).select(*columns_of(docs), result)

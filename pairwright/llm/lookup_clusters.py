@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pairwright.llm.common import batched, free_name, least_places
+from pairwright.llm.common import batched, columns_of, free_name, least_places
 from pairwright.session import materialize
 
 #: Integers beyond this are held at it, so that a squared distance over 64 dimensions fits 64 bits.
@@ -111,9 +111,10 @@ def embedding_clusters(
 
     A row is usable if its vector has ``dims`` components, none null or not finite; others are left out. Rows are ordered by
     the SHA-256 of ``1:<key>`` (a null key: ``1:``). Inertia is the sum of squared distances, null beyond 64 bits.
-    ``centroid`` is the array of the final centroid's components.
+    ``centroid`` is the array of the final centroid's components. The struct is the last column; a name in use gets
+    underscores before it.
     """
-    x, name = free_name(rows, "x", "assigned")
+    result, x, name = free_name(rows, result, "x", "assigned")
     usable = materialize(integer_vectors(rows, vector, dims, scale, x), "integer-vectors")
     place = F.sha2(F.concat(F.lit("1:"), F.coalesce(F.col(f"`{key}`").cast("string"), F.lit(""))), 256)
     found, centroids = cluster(usable, x, place, k, rounds, name)
@@ -141,4 +142,4 @@ def embedding_clusters(
             F.lit(fitting(sum(each.values()))).cast("long").alias("inertia"),
             own["centroid"].alias("centroid"),
         ),
-    ).select(*rows.columns, result)
+    ).select(*columns_of(rows), result)

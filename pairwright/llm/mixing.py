@@ -9,6 +9,7 @@ threshold that is found from sums of hash ranges.
 
 from __future__ import annotations
 
+import heapq
 import math
 from collections import deque
 
@@ -19,7 +20,7 @@ from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.window import Window
 
-from pairwright.llm.common import ascii_words, free_name
+from pairwright.llm.common import ascii_words, columns_of, free_name, result_name
 from pairwright.session import materialize
 
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -62,55 +63,83 @@ def pattern_flow(
 
     Pass k over a pattern costs more a word than pass k - 1 over any, and words cost nothing else. So shortest paths use
     all first passes that still reach an open quota, by rerouting what has been placed where needed, before any second.
+
+    Paths are sought over sources alone: source s leads to t if a pattern that feeds s could feed t, and of these patterns a
+    heap has the one that feeds s most. Sources from which no open quota can be reached never open again, so no pattern
+    searches them twice.
     """
-    nodes = list(patterns)
-    flow: dict[tuple[int, str | None], float] = {}
-    holders: dict[str | None, set[int]] = {s: set() for s in targets}
-    taken, left = [0.0] * len(nodes), dict(targets)
-    scale = max([1.0, *targets.values()]) * 1e-12
+    order = sorted(targets, key=lambda s: (s is None, s or ""))
+    place = {s: i for i, s in enumerate(order)}
+    members = [tuple(sorted(place[s] for s in p if s in place)) for p in patterns]
+    left = [float(targets[s]) for s in order]
+    taken = [0.0] * len(members)
+    flow: dict[tuple[int, int], float] = {}
+    heaps: dict[tuple[int, int], list[tuple[float, int]]] = {}
+    leads: list[set[int]] = [set() for _ in order]
+    closed = [False] * len(order)
+    scale = max([1.0, *left]) * 1e-12
+
+    def feed(pattern: int, s: int, amount: float) -> None:
+        flow[pattern, s] = held = flow.get((pattern, s), 0.0) + amount
+        if held > scale and amount > 0:
+            for t in members[pattern]:
+                if t != s:
+                    heapq.heappush(heaps.setdefault((s, t), []), (-held, pattern))
+                    leads[s].add(t)
+
+    def feeder(s: int, t: int) -> int | None:
+        """The pattern that feeds s most of those that could feed t."""
+        heap = heaps[s, t]
+        while heap:
+            known, pattern = heap[0]
+            held = flow[pattern, s]
+            if held <= scale or held > -known:  # gone, or listed again since
+                heapq.heappop(heap)
+            elif held < -known:
+                heapq.heapreplace(heap, (-held, pattern))
+            else:
+                return pattern
+        leads[s].discard(t)
+        return None
+
+    def path_from(starts: list[int]) -> list[int] | None:
+        """Sources from one of the starts to an open quota; None if there is none, and what was reached is closed."""
+        came: dict[int, int | None] = dict.fromkeys(starts)
+        queue = deque(starts)
+        while queue:
+            s = queue.popleft()
+            if left[s] > scale:
+                path = [s]
+                while (s := came[s]) is not None:
+                    path.append(s)
+                return path[::-1]
+            for t in sorted(leads[s]):
+                if t not in came and not closed[t] and feeder(s, t) is not None:
+                    came[t] = s
+                    queue.append(t)
+        for s in came:
+            closed[s] = True
+        return None
+
     for _ in range(most):
-        spare = [float(patterns[p]) for p in nodes]
-        for start in range(len(nodes)):
-            while spare[start] > scale:
-                # breadth first from the pattern over sources, and back over patterns that feed them
-                came: dict[str | None, int] = {}
-                via: dict[int, str | None] = {}
-                queue, goal, seen = deque([start]), None, {start}
-                while queue and goal is None:
-                    node = queue.popleft()
-                    for s in sorted(nodes[node], key=lambda x: (x is None, x or "")):
-                        if s in came or s not in left:
-                            continue
-                        came[s] = node
-                        if left[s] > scale:
-                            goal = (s,)
-                            break
-                        for other in sorted(holders[s]):
-                            if other not in seen:
-                                seen.add(other)
-                                via[other] = s
-                                queue.append(other)
-                if goal is None:
+        for start, size in enumerate(patterns.values()):
+            spare = float(size)
+            while spare > scale:
+                starts = [s for s in members[start] if not closed[s]]
+                near = next((s for s in starts if left[s] > scale), None)
+                path = [near] if near is not None else path_from(starts) if starts else None
+                if path is None:
                     break
-                path, s = [], goal[0]
-                while True:
-                    path.append((came[s], s))
-                    if came[s] == start:
-                        break
-                    s = via[came[s]]
-                backs = [(path[i][0], path[i + 1][1]) for i in range(len(path) - 1)]
-                amount = min([spare[start], left[goal[0]], *(flow[b] for b in backs)])
-                for edge in path:
-                    flow[edge] = flow.get(edge, 0.0) + amount
-                    holders[edge[1]].add(edge[0])
-                for edge in backs:
-                    flow[edge] -= amount
-                    if flow[edge] <= scale:
-                        holders[edge[1]].discard(edge[0])
-                left[goal[0]] -= amount
-                spare[start] -= amount
+                moved = [(feeder(s, t), s, t) for s, t in zip(path, path[1:])]
+                amount = min([spare, left[path[-1]], *(flow[q, s] for q, s, _ in moved)])
+                feed(start, path[0], amount)
+                for q, s, t in moved:
+                    feed(q, s, -amount)
+                    feed(q, t, amount)
+                left[path[-1]] -= amount
+                spare -= amount
                 taken[start] += amount
-    return dict(zip(nodes, taken))
+    return dict(zip(patterns, taken))
 
 
 def seeded_order(key: str, seed: int) -> Column:
@@ -161,8 +190,10 @@ def mix_sources(
 
     ``sources`` is an array of the sources a document belongs to; by default the column ``source`` alone. Null is a source
     of its own. Of a document in several sources, ``source_size`` and ``target`` are sums over these. Texts without words
-    have size 0. Equal keys have equal places in the seeded order, so repeated rows are drawn together.
+    have size 0. Equal keys have equal places in the seeded order, so repeated rows are drawn together. The struct is the last
+    column; a name in use gets underscores before it.
     """
+    result = result_name(docs, result)
     sources = F.array(F.col("source")) if sources is None else F.coalesce(sources, F.array(F.lit(None).cast("string")))
     pattern = F.to_json(F.array_sort(F.array_distinct(sources)))
     size, place = word_count(F.col(f"`{text}`")), seeded_order(key, seed)
@@ -170,7 +201,7 @@ def mix_sources(
     rows = docs.select(pattern.alias("pattern"), members.alias("members"), size.alias("size"), place.alias("place"))
     rows = materialize(rows, "mix-sizes")
     sums = rows.groupBy("pattern").agg(F.min("members").alias("members"), F.sum("size").alias("size"), F.count(F.lit(1)).alias("n"))
-    found = sums.limit(MAX_PATTERNS + 1).collect()
+    found = sorted(sums.limit(MAX_PATTERNS + 1).collect(), key=lambda r: r.pattern)  # reruns take patterns in one order
     if len(found) > MAX_PATTERNS:
         raise ValueError(f"more than {MAX_PATTERNS} combinations of sources")
     sizes: dict[str | None, int] = {}
@@ -201,4 +232,4 @@ def mix_sources(
     joined = docs.withColumn(p, pattern).withColumn(s, size).withColumn(o, place).join(sent, p)
     copies = (F.col(f"{result}.passes") + (F.col(o) <= F.col(f"{result}.last")).cast("long")).alias("copies")
     mixed = F.struct(F.col(s).alias("size"), F.col(f"{result}.source_size"), F.col(f"{result}.target"), copies)
-    return joined.withColumn(result, mixed).select(*docs.columns, result)
+    return joined.withColumn(result, mixed).select(*columns_of(docs), result)

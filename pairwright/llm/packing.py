@@ -307,7 +307,8 @@ def pack(
     if capacity % step:
         raise ValueError("step must divide capacity")
     check_tokenizer(path)
-    pieces = materialize(token_pieces(docs, path, key, text, capacity, end_id), "pieces")
+    pieces = token_pieces(docs, path, key, text, capacity, end_id)
+    pieces = materialize(pieces.withColumn("at", F.monotonically_increasing_id()), "pieces")  # tells repeated rows apart
     size = (F.ceil(F.col("length") / step) * step).cast("long")
     histogram = {r.size: r.n for r in pieces.groupBy(size.alias("size")).agg(F.count(F.lit(1)).alias("n")).collect()}
     units = plan_sequences({s // step: n for s, n in histogram.items()}, capacity // step)
@@ -324,7 +325,7 @@ def pack(
         pieces.withColumn("size", size)
         .withColumn("mark", mark)
         .join(F.broadcast(parts), "size")
-        .withColumn("part", F.pmod("mark", "parts"))
+        .withColumn("part", F.pmod(F.xxhash64("mark", "at"), F.col("parts")))
         .drop("parts")
     )
     before = F.sum("n").over(Window.partitionBy("size").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))

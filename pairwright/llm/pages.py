@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
-from pairwright.llm.common import labelled_samples
+from pairwright.llm.common import labelled_samples, result_name
 
 # Element names of HTML.
 RAW = frozenset(("script", "style", "title", "textarea", "noscript", "template", "iframe", "svg", "math", "canvas", "select"))
@@ -474,4 +474,4 @@ def extract_pages(pages: DataFrame, field: BlockField, source: str = "html", res
             rows.append(("\n".join(kept), len(blocks), len(kept)))
         return pd.DataFrame(rows, columns=["text", "n_blocks", "n_main"])
 
-    return pages.withColumn(result, extract(F.col(f"`{source}`")))
+    return pages.withColumn(result_name(pages, result), extract(F.col(f"`{source}`")))

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from pairwright.llm.common import SPANS, Span, labelled_samples, span_check, span_rows
+from pairwright.llm.common import SPANS, Span, labelled_samples, result_name, span_check, span_rows
 
 # Kinds in their order, patterns and limits of the base scan.
 KINDS = ("email", "ip", "card", "phone")
@@ -507,4 +507,4 @@ def scan_pii(docs: DataFrame, field: SegmentField, text: str = "text", result: s
             found.append(span_rows(base, added, lambda s: (KINDS.index(s[0]), s[1])))
         return pd.Series(found)
 
-    return docs.withColumn(result, scan(F.col(f"`{text}`")))
+    return docs.withColumn(result_name(docs, result), scan(F.col(f"`{text}`")))

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
-from pairwright.llm.common import SPACES, ascii_words, free_name
+from pairwright.llm.common import SPACES, ascii_words, columns_of, free_name
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
@@ -275,16 +275,15 @@ def base_failed(counts: Column) -> Column:
     return (counts["n_words"] < 10) | (100 * counts["n_repeat_words"] > 20 * counts["n_words"])
 
 
-def quality_verdicts(docs: DataFrame, rules: DecisionList, text: str = "text", verdict: str = "kept") -> DataFrame:
-    """Add the statistics, ``base_failed`` and the verdict to every document.
+def quality_verdicts(docs: DataFrame, rules: DecisionList, text: str = "text", result: str = "quality") -> DataFrame:
+    """Add a struct of the statistics, ``base_failed`` and ``kept`` to every document, as the last column.
 
-    Null and empty texts have no words and fail the base rule. Repeated rows get equal verdicts; other columns stay.
+    Null and empty texts have no words and fail the base rule. Repeated rows get equal verdicts; other columns stay as they
+    are, also those named like the result, which then has underscores before its name.
     """
-    [counts] = free_name(docs, "_counts")
-    failed = base_failed(F.col(counts))
-    return (
-        with_counts(docs, counts, text)
-        .withColumn("base_failed", failed)
-        .withColumn(verdict, ~failed & rules.keeps(ratios(F.col(counts))))
-        .withColumnRenamed(counts, "text_counts")
-    )
+    result, counts, failed = free_name(docs, result, "counts", "failed")
+    counted = with_counts(docs, counts, text).withColumn(failed, base_failed(F.col(counts)))
+    kept = ~F.col(failed) & rules.keeps(ratios(F.col(counts)))
+    fields = [F.col(counts)[name].alias(name) for name in COUNTS]
+    judged = F.struct(*fields, F.col(failed).alias("base_failed"), kept.alias("kept"))
+    return counted.withColumn(result, judged).select(*columns_of(docs), result)

@@ -57,7 +57,7 @@ def op5_decision_list(spark: SparkSession, folder: str) -> DataFrame:
     rules = fit_quality_rules(docs, table(spark, folder, "labels"))
     judged = quality_verdicts(docs, rules)
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    return judged.select("doc_id", *[F.col("text_counts")[c].alias(c) for c in counts], "base_failed", "kept")
+    return judged.select("doc_id", *[f"quality.{c}" for c in (*counts, "base_failed", "kept")])
 
 
 def op6_pigeonring(spark: SparkSession, folder: str) -> DataFrame:

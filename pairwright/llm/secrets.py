@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from pairwright.llm.common import SPANS, Span, labelled_samples, span_check, span_rows
+from pairwright.llm.common import SPANS, Span, labelled_samples, result_name, span_check, span_rows
 
 # Kinds, patterns and lengths of the base scan.
 KINDS = ("assign", "access", "hex", "markov")
@@ -187,4 +187,4 @@ def scan_secrets(docs: DataFrame, test: RandomnessTest, text: str = "text", resu
             found.append(span_rows(base, added, lambda s: (s[1], KINDS.index(s[0]))))
         return pd.Series(found)
 
-    return docs.withColumn(result, scan(F.col(f"`{text}`")))
+    return docs.withColumn(result_name(docs, result), scan(F.col(f"`{text}`")))

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
-from pairwright.llm.common import ascii_words, free_name, text_key
+from pairwright.llm.common import ascii_words, columns_of, free_name, text_key
 from pairwright.llm.components import component_roots
 from pairwright.session import materialize
 
@@ -156,7 +156,7 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", max_bits:
     here = (F.col(key).eqNullSafe(marked[k])) & (t1 == marked[a]) & (t2 == marked[b])
     # the same plan at every size: what goes grows with the documents
     joined = docs.hint("merge").join(marked.hint("merge"), here, "left")
-    single = joined.where(F.col(stays).isNull()).select(*docs.columns)
+    single = joined.where(F.col(stays).isNull()).select(*columns_of(docs))
     if marked.where(F.col(stays)).isEmpty():
         return single
-    return single.unionByName(joined.where(F.col(stays)).dropDuplicates([k, a, b]).select(*docs.columns))
+    return single.unionByName(joined.where(F.col(stays)).dropDuplicates([k, a, b]).select(*columns_of(docs)))

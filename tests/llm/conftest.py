@@ -29,7 +29,7 @@ def edge_rows():
 @pytest.fixture(scope="session")
 def edge_docs(spark, edge_rows):
     """The rows with further columns whose names the operators use themselves."""
-    names = ["_counts", "lines", "mix", "spans", "size", "fp", "key", "t1", "k1", "pattern", "main", "node", "v", "n"]
+    names = ["_counts", "lines", "mix", "spans", "size", "fp", "key", "t1", "k1", "pattern", "main", "node", "v", "n", "quality", "base_failed", "kept", "text_counts", "_kept", "_lines", "_mix", "_time"]
     schema = "doc_id long, text string, source string, " + ", ".join(f"{n} string" for n in names)
     return spark.createDataFrame([(*r, *(f"{n}-x" for n in names)) for r in edge_rows], schema).repartition(3)
 

@@ -1,5 +1,6 @@
 """Operators across documents: near duplicates, mixing, packing, main text, and the pipeline."""
 
+import json
 import struct
 import time
 import zlib
@@ -8,6 +9,7 @@ from collections import Counter
 import numpy as np
 import pytest
 from public_tokenizers import path
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from pairwright.llm import components, embeddings, mixing, packing, pages, simhash
@@ -98,7 +100,7 @@ def test_flow_meets_quotas_with_few_repeats():
 
 def test_mix_comes_near_its_targets(spark, edge_docs, edge_rows, no_docs):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
-    rows = mixing.mix_sources(docs.drop("size")).select("source", "mix.*").collect()
+    rows = mixing.mix_sources(docs).select("source", "mix.*").collect()
     largest = Counter()
     taken, target = Counter(), {}
     for r in rows:
@@ -109,9 +111,9 @@ def test_mix_comes_near_its_targets(spark, edge_docs, edge_rows, no_docs):
     assert all(abs(taken[s] - target[s]) <= largest[s] / 2 + 1 for s in target)
     again = mixing.mix_sources(docs.repartition(5)).select("source", "mix.*").collect()
     assert by_text(map(tuple, rows)) == by_text(map(tuple, again))
-    edges = mixing.mix_sources(edge_docs.drop("mix"))
-    assert edges.count() == len(edge_rows)
-    for r in edges.select("text", "mix.size").collect():
+    edges = mixing.mix_sources(edge_docs)
+    assert edges.count() == len(edge_rows) and edges.columns == [*edge_docs.columns, "__mix"]
+    for r in edges.select("text", "__mix.size").collect():
         assert r.size == len(brute.words(r.text))
     assert mixing.mix_sources(no_docs).count() == 0
 
@@ -273,6 +275,101 @@ def test_pipeline_on_edges(spark, edge_docs, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).count() > 0
 
 
+def test_stages_leave_other_columns_alone(spark, edge_docs, tmp_path):
+    """Columns named like the operators' own, or with odd names, come through every stage as they are."""
+    labels = spark.createDataFrame([(4, 1, 0)], "doc_id long, quality int, toxic int")
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    docs = edge_docs.withColumn("n_chars", edge_docs["doc_id"]).withColumn("a.b", F.lit("a.b-x"))
+    others = [c for c in docs.columns if c not in ("doc_id", "text", "source", "n_chars")]
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, str(tmp_path)).cache()
+        assert docs.columns == [*edge_docs.columns, "n_chars", "a.b"]
+        rows = docs.select(*[F.col(f"`{c}`") for c in others]).distinct().collect()
+        assert [tuple(r) for r in rows] == [tuple(f"{c}-x" for c in others)], name
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).count() > 0
+
+
+def plain_flow(patterns, targets, most=3):
+    """Words taken of each pattern, greedily by maximum flow: pass by pass, each pattern as much as still fits."""
+    names, taken = list(patterns), dict.fromkeys(patterns, 0.0)
+
+    def fits(amounts):  # Hall's condition: the patterns inside any set of sources do not exceed its targets
+        for mask in range(1, 1 << len(targets)):
+            chosen = {s for i, s in enumerate(targets) if mask >> i & 1}
+            if sum(n for p, n in amounts.items() if p <= chosen) > sum(targets[s] for s in chosen) + 1e-9:
+                return False
+        return True
+
+    for _ in range(most):
+        for p in names:
+            low, high = 0.0, float(patterns[p])
+            if fits({**taken, p: taken[p] + high}):
+                low = high
+            for _ in range(60 if low < high else 0):
+                middle = (low + high) / 2
+                low, high = (middle, high) if fits({**taken, p: taken[p] + middle}) else (low, middle)
+            taken[p] += low
+    return taken
+
+
+def test_flow_equals_plain_one():
+    draw = np.random.default_rng(9)
+    for _ in range(25):
+        sources = list("abcd")[: draw.integers(2, 5)]
+        sets = {frozenset(draw.choice(sources, draw.integers(1, len(sources) + 1), replace=False).tolist()) for _ in range(7)}
+        patterns = {p: float(draw.integers(0, 50)) for p in sorted(sets, key=sorted)}
+        targets = {s: float(draw.integers(0, 120)) for s in sources}
+        got, want = mixing.pattern_flow(patterns, targets), plain_flow(patterns, targets)
+        assert got == pytest.approx(want, abs=1e-6)
+
+
+def test_flow_of_many_patterns():
+    draw = np.random.default_rng(3)
+    sources = [f"s{i}" for i in range(24)]
+    patterns = {}
+    while len(patterns) < 100_000:
+        chosen = frozenset(sources[i] for i in draw.choice(24, draw.integers(1, 7), replace=False))
+        patterns[chosen] = float(draw.integers(1, 1000))
+    sizes = dict.fromkeys(sources, 0.0)
+    for p, n in patterns.items():
+        for s in p:
+            sizes[s] += n
+    targets = mixing.source_targets(sizes)
+    begun = time.process_time()
+    taken = mixing.pattern_flow(patterns, targets)
+    assert time.process_time() - begun < 60
+    assert sum(taken.values()) == pytest.approx(min(sum(targets.values()), 3 * sum(patterns.values())), rel=1e-6)
+
+
+def test_mix_of_overlapping_sources(spark):
+    draw = np.random.default_rng(12)
+    words = lambda n: " ".join(["w"] * int(n))
+    rows = [(i, words(draw.integers(1, 60)), sorted(draw.choice(list("abc"), draw.integers(1, 4), replace=False).tolist())) for i in range(900)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, tags array<string>").repartition(5)
+    mixed = mixing.mix_sources(frame, sources=F.col("tags")).collect()
+    sizes, patterns = Counter(), Counter()
+    for _, text, tags in rows:
+        patterns[frozenset(tags)] += len(text.split())
+        for tag in tags:
+            sizes[tag] += len(text.split())
+    order = sorted(patterns, key=lambda p: json.dumps(sorted(p), separators=(",", ":")))
+    amounts = mixing.pattern_flow({p: float(patterns[p]) for p in order}, mixing.source_targets(sizes))
+    taken = Counter()
+    for r in mixed:
+        assert 0 <= r.mix.copies <= 3 and r.mix.size == len(r.text.split())
+        assert r.mix.source_size == sum(sizes[t] for t in r.tags)
+        taken[frozenset(r.tags)] += r.mix.size * r.mix.copies
+    assert all(abs(taken[p] - amounts[p]) <= 30 for p in patterns)  # half of the largest document
+
+
+def test_repeated_rows_are_packed_by_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(packing, "RANKS_PER_TASK", 20)
+    rows = [(None, "the same few words")] * 300 + [(i, f"text {i}") for i in range(20)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = packing.pack(frame, WORDS).collect()
+    check_pack(got, rows)
+
+
 def test_vectors_in_cells(spark):
     """Cells over several coordinates lose no link, and prune where vectors cluster along few directions."""
     draw = np.random.default_rng(6)

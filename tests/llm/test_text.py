@@ -29,7 +29,7 @@ def test_quality_counts_equal_plain_ones(edge_rows):
 def test_quality_verdicts_on_edges(spark, edge_docs, edge_rows, no_docs):
     judged = quality.quality_verdicts(edge_docs, quality.DecisionList())
     assert set(edge_docs.columns) < set(judged.columns)
-    rows = judged.select("doc_id", "text", "base_failed", "kept").collect()
+    rows = judged.select("doc_id", "text", "_quality.base_failed", "_quality.kept").collect()
     assert len(rows) == len(edge_rows)
     for row in rows:
         assert row.kept == (not row.base_failed)
@@ -67,7 +67,9 @@ def test_rules_are_accurate_on_held_out_labels(spark):
 
 @pytest.mark.parametrize("broadcast_keys", [1000, 0])
 def test_lines_equal_plain_ones(edge_docs, edge_rows, broadcast_keys):
-    got = lines.drop_frequent_lines(edge_docs.drop("lines"), broadcast_keys=broadcast_keys, batches=3)
+    got = lines.drop_frequent_lines(edge_docs, broadcast_keys=broadcast_keys, batches=3)
+    assert got.columns == [*edge_docs.columns, "__lines"]
+    got = got.select("doc_id", "text", F.col("__lines").alias("lines"))
     rows = [(r.doc_id, r.lines.n_lines, r.lines.n_dropped, r.lines.text or "") for r in got.collect()]
     want = [(k, *x) for (k, _, _), x in zip(edge_rows, brute.lines_dropped([t for _, t, _ in edge_rows]))]
     assert by_text(rows) == by_text(want)
@@ -126,7 +128,7 @@ def test_pii_field_finds_rewritten_data_and_keeps_base(spark, edge_docs, edge_ro
         assert [s[0] for s in field.added(text, pii.base_pii(text))] == [kind]
     for text in ("section 12 and 4.5 percent of 1000 people", "Licensed under CC BY-NC 4.0.", "General Public License, version 3."):
         assert field.added(text, []) == []
-    rows = pii.scan_pii(edge_docs.drop("spans"), field).select("doc_id", "text", "spans").collect()
+    rows = pii.scan_pii(edge_docs, field).select("doc_id", "text", F.col("_spans").alias("spans")).collect()
     assert len(rows) == len(edge_rows)
     for row in rows:
         base = [(s.kind, s.start, s.end) for s in row.spans if s.base]
@@ -170,7 +172,7 @@ def test_secret_scan_on_edges(spark, edge_docs, edge_rows, no_docs):
         assert test.added(f"key {word} here", []) == [("markov", 4, 4 + len(word))]
     for word in ("einheitheitschenieaupfundden1", "the.thing.of.the.ending.2"):
         assert test.added(f"name {word} here", []) == []
-    rows = secrets.scan_secrets(edge_docs.drop("spans"), test).select("text", "spans").collect()
+    rows = secrets.scan_secrets(edge_docs, test).select("text", F.col("_spans").alias("spans")).collect()
     assert len(rows) == len(edge_rows)
     for row in rows:
         assert [(s.kind, s.start, s.end) for s in row.spans if s.base] == brute.secret_spans(row.text)
