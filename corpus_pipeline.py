@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairwright.llm.common import table
+from pairwright.llm.common import columns_of, free_name, table
 from pairwright.llm.lines import drop_frequent_lines
 from pairwright.llm.mixing import mix_sources
 from pairwright.llm.packing import pack
@@ -22,14 +22,16 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the base rule or the learned rules go."""
     rules = fit_quality_rules(docs, table(spark, sf_dir, "labels"))
-    return quality_verdicts(docs, rules, verdict="_kept").where("_kept").select(*docs.columns)
+    judged = quality_verdicts(docs, rules)
+    return judged.where(F.col(judged.columns[-1])["kept"]).select(*columns_of(docs))
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines found in ten documents or more go from every document; ``n_chars`` follows the text."""
-    dropped = drop_frequent_lines(docs, result="_lines")
-    changed = {"text": F.col("_lines.text"), "n_chars": F.length("_lines.text").cast("long")}
-    return dropped.withColumns(changed).select(*docs.columns)
+    dropped = drop_frequent_lines(docs)
+    text = F.col(dropped.columns[-1])["text"]
+    changed = {"text": text, "n_chars": F.length(text).cast("long")}
+    return dropped.withColumns({c: x for c, x in changed.items() if c in docs.columns}).select(*columns_of(docs))
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,9 +41,11 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as many times as the mix takes it, up to three; one that it does not take goes."""
-    mixed = mix_sources(docs, result="_mix").where("_mix.copies > 0")
-    times = F.array_repeat(F.lit(0), F.col("_mix.copies").cast("int"))
-    return mixed.withColumn("_time", F.explode(times)).select(*docs.columns)
+    mixed = mix_sources(docs)
+    copies = F.col(mixed.columns[-1])["copies"]
+    [time] = free_name(mixed, "time")
+    times = F.explode(F.array_repeat(F.lit(0), copies.cast("int")))
+    return mixed.where(copies > 0).withColumn(time, times).select(*columns_of(docs))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
