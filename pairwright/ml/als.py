@@ -148,7 +148,14 @@ def score_lists(
     says. Each block of users meets each block of items in one task as a matrix product, some thousand items at a time with
     a running limit. The rows that move are factors, never scored pairs, and their copies follow the lists, not all ids.
     """
-    user_cell, item_cell = cell or (TOP_CELL if limit > 0 else ALL_CELL)
+    left, right = listed_factors(model, users, items, user_ids, item_ids)
+    return score_factors(left, right, limit, cell)
+
+
+def listed_factors(
+    model: ALSModel, users: DataFrame, items: DataFrame, user_ids: DataFrame, item_ids: DataFrame
+) -> tuple[DataFrame, DataFrame]:
+    """Rows (user_id, id, _factors) and (item_id, id, _factors) of the listed users and items known to training."""
 
     def factors(names: DataFrame, ids: DataFrame, id_col: str, table: DataFrame, name: str) -> DataFrame:
         key = next(c for c in ids.columns if c != id_col)
@@ -160,8 +167,17 @@ def score_lists(
             .select(name, "id", F.col("features").alias("_factors"))
         )
 
-    left = materialize(factors(users, user_ids, USER_ID, model.userFactors, "user_id"), "user-factors")
-    right = materialize(factors(items, item_ids, ITEM_ID, model.itemFactors, "item_id"), "item-factors")
+    left = factors(users, user_ids, USER_ID, model.userFactors, "user_id")
+    return left, factors(items, item_ids, ITEM_ID, model.itemFactors, "item_id")
+
+
+def score_factors(left: DataFrame, right: DataFrame, limit: int = 0, cell: tuple[int, int] | None = None) -> DataFrame:
+    """Positive products of users (user_id, id, _factors) and items (item_id, id, _factors), ids distinct.
+
+    With a positive ``limit``, only rows within each user's ``limit`` highest distinct scores.
+    """
+    user_cell, item_cell = cell or (TOP_CELL if limit > 0 else ALL_CELL)
+    left, right = materialize(left, "user-factors"), materialize(right, "item-factors")
     rows, cols = (-(-frame.count() // size) for frame, size in ((left, user_cell), (right, item_cell)))
     schema = T.StructType(
         [

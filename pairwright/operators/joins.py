@@ -18,6 +18,7 @@ BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 << 20
 CELL_ROWS = 4096  # rows per side of one cell of a split many-to-many key
 PAIRS_PER_TASK = 4_000_000
+TASKS_PER_CORE = 2  # of a join that sends its right side to all tasks
 
 
 def _row_bytes(df: DataFrame) -> Column:
@@ -69,30 +70,30 @@ def pair_join(
     left_by: list[str] | None = None,
     right_by: list[str] | None = None,
 ) -> DataFrame:
-    """Inner many-to-many join sized by its result. ``left_by`` and ``right_by`` are columns to spread rows by.
-
-    Both sides are counted per key once, pre-aggregated, and the counts are stored: they give the exact number of result
-    rows, hence of tasks, and the grid. A small right side is broadcast and the left rows are spread evenly. Otherwise
-    every key with many pairs becomes a grid: its left rows are hashed to grid rows and its right rows to grid columns,
-    each is repeated along the other axis, and every pair meets in exactly one cell.
+    """Inner many-to-many join. ``left_by`` and ``right_by`` are columns to spread rows by.
+
+    The right side is measured in one pass. If it is small it is broadcast, and the left rows are spread evenly over
+    tasks, so that each makes about as many pairs as any other, whatever keys are hot; pairs stream through, so their number
+    is no matter of memory. Otherwise both sides are counted per key once, pre-aggregated, and the counts are stored: they
+    give the exact number of result rows, hence of tasks, and the grid. Every key with many pairs becomes a grid: its left
+    rows are hashed to grid rows and its right rows to grid columns, each is repeated along the other axis, and every pair
+    meets in exactly one cell.
     """
     spark = left.sparkSession
+    size = right.agg(F.count(F.lit(1)).alias("rows"), F.sum(_row_bytes(right)).alias("bytes")).first()
+    if size["rows"] <= max_rows and (size["bytes"] or 0) <= BROADCAST_BYTES:
+        spread = left.withColumn("_spread", _spread(left, left_by and [*on, *left_by]))
+        tasks = TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+        return spread.repartition(tasks, "_spread").drop("_spread").join(F.broadcast(right), on)
     one, none = F.lit(1), F.lit(0)
-    sides = left.select(*on, one.alias("l"), none.alias("r"), none.cast("long").alias("b")).unionByName(
-        right.select(*on, none.alias("l"), one.alias("r"), _row_bytes(right).alias("b"))
-    )
-    counted = sides.groupBy(*on).agg(F.sum("l").alias("l"), F.sum("r").alias("r"), F.sum("b").alias("b"))
+    sides = left.select(*on, one.alias("l"), none.alias("r")).unionByName(right.select(*on, none.alias("l"), one.alias("r")))
+    counted = sides.groupBy(*on).agg(F.sum("l").alias("l"), F.sum("r").alias("r"))
     counts = materialize(counted, "pair-counts")
     pairs = F.col("l").cast("double") * F.col("r")
     axes = {"_rows": F.ceil(F.col("l") / cell_rows), "_cols": F.ceil(F.col("r") / cell_rows)}
     cut = (axes["_rows"] * axes["_cols"] > 1) & (pairs > pairs_per_task)
-    totals = counts.agg(
-        F.sum(pairs).alias("pairs"), F.sum("r").alias("rows"), F.sum("b").alias("bytes"), F.sum(cut.cast("long")).alias("cut")
-    ).first()
+    totals = counts.agg(F.sum(pairs).alias("pairs"), F.sum(cut.cast("long")).alias("cut")).first()
     tasks = max(math.ceil((totals["pairs"] or 0.0) / pairs_per_task), spark.sparkContext.defaultParallelism)
-    if (totals["rows"] or 0) <= max_rows and (totals["bytes"] or 0) <= BROADCAST_BYTES:
-        spread = left.withColumn("_spread", _spread(left, left_by and [*on, *left_by]))
-        return spread.repartition(tasks, "_spread").drop("_spread").join(F.broadcast(right), on)
     if not totals["cut"]:
         return left.repartition(tasks, *on).join(right.repartition(tasks, *on), on)
     grid = counts.where(cut).select(*on, *[n.cast("int").alias(a) for a, n in axes.items()])

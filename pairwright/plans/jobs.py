@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import re
 
 from pyspark.ml import PipelineModel
@@ -73,7 +75,9 @@ def build_training_features(spark: SparkSession, pairs_path: str, schools_path:
     """Pair table with labels to training matrix."""
     features = training_features(read_table(spark, pairs_path), read_table(spark, schools_path))
     with temporary_tables(spark):
-        write_table(row_ids(features, "id"), out_path)
+        # ids follow the pair, not the order of the input, so a repeated run gives the same ones
+        order = [F.col(c).asc_nulls_first() for c in [*s.ID_COLUMNS, *s.FEATURE_COLUMNS, s.LABEL]]
+        write_table(row_ids(features, "id", order), out_path)
 
 
 def fit_match_model(spark: SparkSession, training_path: str, model_path: str, **options: object) -> ForestFit:
@@ -89,14 +93,27 @@ def fit_match_model(spark: SparkSession, training_path: str, model_path: str, **
 
 
 def build_candidate_features(
-    spark: SparkSession, users_path: str, items_path: str, schools_path: str, out_path: str
+    spark: SparkSession,
+    users_path: str,
+    items_path: str,
+    schools_path: str,
+    out_path: str,
+    id_by: Sequence[str] | None = None,
 ) -> None:
-    """Users and items to the feature matrix of all eligible pairs."""
+    """Users and items to the feature matrix of all eligible pairs.
+
+    With ``id_by``, columns that name a pair, ids are 0..n-1 in their order (ties by all columns), the same in every run; the
+    matrix is then sorted and stored once more. Without, ids are unique and follow the order of the write.
+    """
     features = candidate_features(
         read_table(spark, users_path), read_table(spark, items_path), read_table(spark, schools_path)
     )
-    with temporary_tables(spark):  # unique ids in the order of the one write: the largest table is not stored first
-        write_table(features.select(F.monotonically_increasing_id().alias("id"), *features.columns), out_path)
+    with temporary_tables(spark):
+        if id_by is not None:
+            order = [F.col(c).asc_nulls_first() for c in [*id_by, *features.columns]]
+            write_table(row_ids(features, "id", order), out_path)
+        else:  # unique ids in the order of the one write: the largest table is not stored first
+            write_table(features.select(F.monotonically_increasing_id().alias("id"), *features.columns), out_path)
 
 
 def score_candidates(

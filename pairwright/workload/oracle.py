@@ -273,7 +273,10 @@ ORACLE: dict[str, str] = {
         "SELECT p_brand, p_partkey, p_retailprice, ROW_NUMBER() OVER "
         "(PARTITION BY p_brand ORDER BY p_retailprice DESC, p_partkey) AS export_rank FROM part"
     ),
-    "export_by_key_files": "SELECT '20200131' AS run_date, p_brand, p_partkey, CAST(p_retailprice AS DOUBLE) AS p_retailprice FROM part",
+    "export_by_key_files": (
+        "SELECT '20200131' AS run_date, p_brand, p_partkey, CAST(p_retailprice AS DOUBLE) AS p_retailprice, ROW_NUMBER() OVER "
+        "(PARTITION BY p_brand ORDER BY p_retailprice DESC, p_partkey) AS place FROM part"
+    ),
     "present_flag": (
         "SELECT c_custkey, CASE WHEN NULLIF(c_mktsegment, 'BUILDING') IS NOT NULL AND NULLIF(c_nationkey, 3) IS NOT NULL "
         "THEN '1' ELSE '0' END AS both_given FROM customer"
@@ -282,7 +285,14 @@ ORACLE: dict[str, str] = {
         "SELECT c_custkey, CAST(c_nationkey >= 12 AS INTEGER) AS label, CAST(c_nationkey >= 12 AS INTEGER) AS guess "
         "FROM customer WHERE c_nationkey IS NOT NULL"
     ),
-    "als_topn": f"""SELECT DISTINCT "user" AS user_id, 5 AS n_scores, TRUE AS scores_agree FROM {LOG} AS log WHERE "user" IS NOT NULL""",
+    "als_topn": f"""SELECT DISTINCT "user" AS user_id, 5 AS n_scores, 0 AS wrong, 0 AS missed FROM {LOG} AS log WHERE "user" IS NOT NULL""",
+    "factor_topn": (
+        "WITH v AS (SELECT vec_id, label, [floor(64 * x::DOUBLE) FOR x IN embedding] AS f FROM embeddings), "
+        "s AS (SELECT u.vec_id AS user_id, i.vec_id AS item_id, CAST(list_inner_product(u.f, i.f) AS FLOAT) AS prediction "
+        "FROM v u, v i WHERE u.label < 3) "
+        "SELECT user_id, item_id, prediction FROM (SELECT *, DENSE_RANK() OVER (PARTITION BY user_id ORDER BY prediction DESC) AS r "
+        "FROM s WHERE prediction > 0) WHERE r <= 5"
+    ),
     "label_index": (
         "SELECT CAST(quality AS VARCHAR) AS label, COUNT(*) AS n, "
         "ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, CAST(quality AS VARCHAR)) - 1 AS label_index FROM labels GROUP BY quality"

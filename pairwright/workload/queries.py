@@ -7,9 +7,11 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from pairwright.functions import age_years, area_code, date_serial, gap_band, match_level, present, region_group
-from pairwright.ml.als import ITEM_ID, USER_ID, fit_als, index_log, score_lists
+from pairwright.ml.als import USER_ID, fit_als, index_log, listed_factors, score_factors, score_lists
+from pairwright.ml.certificate import top_certificate
 from pairwright.ml.forest import fit_forest, match_scores
 from pairwright.operators.eligibility import eligible_filter, eligible_pairs
 from pairwright.operators.features import fill_missing, fill_numeric
@@ -297,14 +299,18 @@ def q_als_topn(spark: SparkSession, folder: str) -> DataFrame:
     model = fit_als(indexed, rank=8, max_iter=5)
     users, items = user_ids.select("user"), item_ids.select("item")
     best = materialize(score_lists(model, users, items, user_ids, item_ids, limit=ALS_LIMIT), "best")
-    # every returned score again from the factors, by two key joins
-    left = user_ids.join(model.userFactors, F.col(USER_ID) == F.col("id")).select(F.col("user").alias("user_id"), F.col("features").alias("_u"))
-    right = item_ids.join(model.itemFactors, F.col(ITEM_ID) == F.col("id")).select(F.col("item").alias("item_id"), F.col("features").alias("_i"))
-    again = F.aggregate(F.zip_with("_u", "_i", lambda x, y: x.cast("double") * y), F.lit(0.0), lambda a, x: a + x)
-    checked = best.join(left, "user_id").join(right, "item_id").withColumn("off", F.abs(again - F.col("prediction")))
-    return checked.groupBy("user_id").agg(
-        F.countDistinct("prediction").alias("n_scores"), (F.max("off") < 1e-5).alias("scores_agree")
-    )
+    # every returned score again from the factors, and a scan for rows that should have been returned
+    left, right = (materialize(x, "factors") for x in listed_factors(model, users, items, user_ids, item_ids))
+    return top_certificate(best, left, right, ALS_LIMIT).select("user_id", "n_scores", "wrong", "missed")
+
+
+def q_factor_topn(spark: SparkSession, folder: str) -> DataFrame:
+    """The best items of given factors: the same scoring with whole numbers, whose products SQL gives exactly."""
+    whole = F.transform("embedding", lambda x: F.floor(x.cast("double") * 64).cast("float"))
+    vectors = table(spark, folder, "embeddings").select("vec_id", "label", whole.alias("_factors"))
+    users = vectors.where("label < 3").select(F.col("vec_id").alias("user_id"), F.col("vec_id").alias("id"), "_factors")
+    items = vectors.select(F.col("vec_id").alias("item_id"), F.col("vec_id").alias("id"), "_factors")
+    return score_factors(users, items, ALS_LIMIT)
 
 
 def q_present_flag(spark: SparkSession, folder: str) -> DataFrame:
@@ -317,9 +323,13 @@ def q_export_by_key_files(spark: SparkSession, folder: str) -> DataFrame:
     """The files that the per-key export writes, read back."""
     parts = table(spark, folder, "part").select("p_brand", "p_partkey", "p_retailprice")
     path = scratch_path(spark, "export")
-    export_by_key(parts, path, "p_brand", "p_retailprice", "20200131")
+    export_by_key(parts, path, "p_brand", "p_retailprice", "20200131", then=["p_partkey"])
     schema = "p_partkey long, p_retailprice double, run_date string, p_brand string"
-    return spark.read.schema(schema).csv(path, header=True).select("run_date", "p_brand", "p_partkey", "p_retailprice")
+    rows = spark.read.schema(schema).csv(path, header=True).withColumn("file", F.col("_metadata.file_name"))
+    # where a row stands: files of a key by name, rows of a file as they were written
+    stands = F.row_number().over(Window.partitionBy("p_brand").orderBy("file", "at"))
+    placed = rows.withColumn("at", F.monotonically_increasing_id()).withColumn("place", stands)
+    return placed.select("run_date", "p_brand", "p_partkey", "p_retailprice", "place")
 
 
 QUERIES: dict[str, Query] = {
@@ -361,6 +371,7 @@ QUERIES: dict[str, Query] = {
     "candidate_features": q_candidate_features,
     "forest_scores": q_forest_scores,
     "als_topn": q_als_topn,
+    "factor_topn": q_factor_topn,
     "present_flag": q_present_flag,
     "export_by_key_files": q_export_by_key_files,
 }

@@ -77,6 +77,25 @@ def test_candidates_equal_features_of_the_flat_pairs(spark, files, matched):
     assert candidates.select("id").distinct().count() == expected.count()
 
 
+def test_ids_are_the_same_in_every_run(spark, files, matched):
+    """Ids from a declared key do not follow the order in which rows are read."""
+    users, items = (read_strings(spark, f"{files}/{n}.csv") for n in ("users", "items"))
+    found = []
+    for seed in (1, 2):
+        for name, frame in (("users", users), ("items", items)):
+            frame.orderBy(F.rand(seed)).repartition(3).write.mode("overwrite").parquet(f"{files}/mixed-{name}")
+        jobs.build_candidate_features(
+            spark, f"{files}/mixed-users", f"{files}/mixed-items", f"{files}/schools.csv", f"{files}/named", id_by=s.ID_COLUMNS
+        )
+        found.append(values(spark.read.parquet(f"{files}/named")))
+    assert found[0] == found[1] and sorted(int(r[0]) for r in found[0]) == list(range(len(found[0])))
+    pairs = read_strings(spark, f"{files}/pairs.csv")
+    for n in (1, 2):
+        pairs.orderBy(F.rand(n)).write.mode("overwrite").parquet(f"{files}/mixed-pairs")
+        jobs.build_training_features(spark, f"{files}/mixed-pairs", f"{files}/schools.csv", f"{files}/training-{n}")
+    assert values(spark.read.parquet(f"{files}/training-1")) == values(spark.read.parquet(f"{files}/training-2"))
+
+
 def test_scores_are_mapped_and_ordered(spark, files, matched):
     rows = [r for p in sorted(Path(f"{files}/scores.csv").glob("part-*.csv")) for r in csv.DictReader(p.open())]
     assert len(rows) == read_strings(spark, f"{files}/candidates.csv").count()

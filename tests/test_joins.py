@@ -56,6 +56,21 @@ def test_many_hot_keys_are_all_cut(spark, small_thresholds, how):
         assert max(t.n for t in tasks) < 10_000  # a hot key alone has 10 000 rows
 
 
+def test_two_thousand_hot_keys(spark, small_thresholds):
+    """Every key of 2 000 is hot: many rows a key, and none of them alone in a task that is much larger than the others."""
+    left = spark.range(0, 600_000, numPartitions=8).select((F.col("id") % 2000).alias("k"), F.col("id").alias("v"))
+    right = spark.range(2500).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
+    joined = lookup_join(left, right, ["k"], "inner", max_rows=0)
+    total = joined.agg(F.count(F.lit(1)), F.sum(F.col("w") - 2 * F.col("k")), F.sum("v")).first()
+    assert tuple(total) == (600_000, 0, sum(range(600_000)))
+    tasks = [r.n for r in joined.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert max(tasks) < 4 * sum(tasks) / len(tasks)
+    other = spark.range(0, 40_000).select((F.col("id") % 2000).alias("k"), F.col("id").alias("w"))
+    few = left.where("v < 60000")
+    met = pair_join(few, other, ["k"], cell_rows=8, pairs_per_task=100, max_rows=0)
+    assert met.count() == 2000 * 30 * 20
+
+
 @pytest.mark.parametrize("max_rows", [0, 1000])
 def test_lookup_join_both_plans(skewed, other, max_rows):
     found = lookup_join(skewed, other, ["k"], "left", max_rows)

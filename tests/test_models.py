@@ -5,7 +5,8 @@ from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from pairwright.ml.als import ITEM_ID, USER_ID, fit_als, index_log, score_lists
+from pairwright.ml.als import ITEM_ID, USER_ID, fit_als, index_log, listed_factors, score_factors, score_lists
+from pairwright.ml.certificate import top_certificate
 from pairwright.ml.forest import FULL_GRID, fit_forest, match_scores, param_grid
 from pairwright.session import materialize
 
@@ -177,3 +178,37 @@ def test_top_scores_are_those_of_all_scores(spark, cell, monkeypatch):
     everything = score_lists(model, *lists).withColumn("r", rank).where("r <= 4").drop("r")
     best = score_lists(model, *lists, limit=4, cell=cell)
     assert sorted(map(tuple, best.collect())) == sorted(map(tuple, everything.collect()))
+
+
+@pytest.mark.parametrize("block_rows", [7, 8192])
+def test_certificate_of_a_complete_top(spark, recommender, block_rows):
+    _, _, _, user_ids, item_ids, model = recommender
+    users, items = lists(spark, [f"u{n}" for n in range(40)], [f"i{n}" for n in range(30)])
+    left, right = (materialize(x, "factors") for x in listed_factors(model, users, items, user_ids, item_ids))
+    best = materialize(score_factors(left, right, 4), "best")
+    rows = top_certificate(best, left, right, 4, block_rows).collect()
+    assert len(rows) == 40 and {(r.n_scores, r.wrong, r.missed) for r in rows} == {(4, 0, 0)}
+    # planted faults: a lower row in the place of the best one, a score that is not the product, no rows at all
+    every = materialize(score_factors(left, right), "all")
+    top = best.where("user_id = 'u3'").orderBy(F.desc("prediction")).first()
+    fifth = every.where("user_id = 'u3'").join(best, ["user_id", "item_id"], "left_anti").orderBy(F.desc("prediction")).limit(1)
+    swapped = best.where(f"NOT (user_id = 'u3' AND item_id = '{top.item_id}')").unionByName(fifth)
+    spoiled = swapped.withColumn("prediction", F.when(F.col("user_id") == "u5", F.col("prediction") * 1.5).otherwise(F.col("prediction")).cast("float"))
+    spoiled = spoiled.where("user_id <> 'u8'")
+    found = {r.user_id: r for r in top_certificate(spoiled, left, right, 4, block_rows).collect()}
+    assert found["u3"].missed == 1 and found["u3"].wrong == 0
+    assert found["u5"].wrong == 4
+    assert found["u8"].n_scores == 0 and found["u8"].missed == 30
+    assert all((r.wrong, r.missed) == (0, 0) for u, r in found.items() if u not in ("u3", "u5", "u8"))
+
+
+def test_certificate_prunes_by_norm(spark):
+    draw = np.random.default_rng(2)
+    items = [(i, (draw.uniform(0.1, 1.0, 4) * (10.0 if i < 40 else 0.01)).tolist()) for i in range(2000)]
+    users = [(u, draw.uniform(0.1, 1.0, 4).tolist()) for u in range(20)] + [(99, [0.0] * 4)]
+    left = spark.createDataFrame([(u, u, f) for u, f in users], "user_id long, id long, _factors array<float>")
+    right = spark.createDataFrame([(i, i, f) for i, f in items], "item_id long, id long, _factors array<float>")
+    rows = top_certificate(score_factors(left, right, 3), left, right, 3).collect()
+    assert all((r.wrong, r.missed) == (0, 0) for r in rows) and len(rows) == 21
+    assert all(r.compared <= 40 for r in rows)  # of 2 000
+    assert top_certificate(score_factors(left, right.limit(0), 3), left, right.limit(0), 3).count() == 21
