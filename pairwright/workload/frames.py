@@ -66,6 +66,15 @@ REPORT_ITEMS = {
 
 EVENT_TOP = 3
 
+# The target list of the extraction job: some items without an id or with the text 'nan'.
+TARGETED = "s_nationkey < 12"
+TARGETS = {
+    "number": "CAST(s_suppkey AS STRING)",
+    "id": "CASE s_nationkey WHEN 0 THEN 'nan' WHEN 1 THEN NULL ELSE CAST(s_suppkey + 100000 AS STRING) END",
+    "work": "CASE s_nationkey WHEN 2 THEN 'nan' ELSE CAST(s_suppkey + 200000 AS STRING) END",
+}
+LABEL_FROM = 2  # the training label is 1 from this value of u_wlaid on
+
 
 def _money(column: str, factor: int, shift: int) -> str:
     return f"CAST(CAST(FLOOR({column} * {factor}) AS BIGINT) + {shift} AS STRING)"

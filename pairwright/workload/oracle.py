@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pairwright.operators.funnel import AREA_CODES, BUCKETS, CATEGORY_CODES, LOWER_BOUNDS, REQUIREMENT_CODES
-from pairwright.schemas import DERIVED_FEATURES, FEATURE_COLUMNS, FEATURES, ID_COLUMNS, RAW_FEATURES
+from pairwright.schemas import DERIVED_FEATURES, FEATURE_COLUMNS, FEATURES, ID_COLUMNS, LABEL, RAW_FEATURES, feature_matrix
 from pairwright.schemas import RULE as FILE_RULE
 from pairwright.workload import frames as f
 
@@ -139,11 +139,11 @@ def _funnel_wide(dimension: str, codes: tuple[str, ...]) -> str:
     return f"SELECT bucket, {columns} FROM ({_funnel_by(dimension, codes)}) AS report GROUP BY bucket"
 
 
-def _candidates() -> str:
+def _feature_values() -> dict[str, str]:
+    """SQL text of each column of the user and item files, and of each derived feature."""
     user_names, item_names = list(f.CANDIDATE_USERS), list(f.CANDIDATE_ITEMS)
-    raw = {name: f'"{name}"' for name in user_names + item_names}
-    raw["hensachi"] = "hensachi"
-    value = dict(raw)
+    value = {name: f'"{name}"' for name in user_names + item_names}
+    value["hensachi"] = "hensachi"
     for feature in FEATURES:
         inputs = [value[name] for name in feature.inputs]
         value[feature.name] = {
@@ -153,16 +153,79 @@ def _candidates() -> str:
             "match": _match,
             "gap": _gap,
         }[feature.kind](*inputs)
+    return value
+
+
+FILES = f"""u AS ({_bound(f.CANDIDATE_USERS, "customer")}), i AS ({_bound(f.CANDIDATE_ITEMS, "supplier")}),
+school AS (SELECT wscnm, MIN(hensachi) AS hensachi FROM ({_bound(f.SCHOOLS, "supplier")}) AS s GROUP BY wscnm)"""
+
+
+def _candidates() -> str:
+    value = _feature_values()
     columns = [f"{value[c]} AS {c}" for c in [*ID_COLUMNS, *DERIVED_FEATURES]]
     columns += [f"COALESCE({value[c]}, '0') AS {c}" for c in RAW_FEATURES]
     assert len(columns) == len(ID_COLUMNS) + len(FEATURE_COLUMNS)
     return f"""
-WITH u AS ({_bound(f.CANDIDATE_USERS, "customer")}), i AS ({_bound(f.CANDIDATE_ITEMS, "supplier")}),
-school AS (SELECT wscnm, MIN(hensachi) AS hensachi FROM ({_bound(f.SCHOOLS, "supplier")}) AS s GROUP BY wscnm),
+WITH {FILES},
 e AS (SELECT * FROM u JOIN i ON {_rule(FILE_RULE)} LEFT JOIN school ON u_wscnm = wscnm)
 SELECT {", ".join(columns)} FROM e"""
 
 
+def _job_training() -> str:
+    value, kind = _feature_values(), {x.name: x.dataType.typeName() for x in feature_matrix(with_label=True)}
+    numbers = ", ".join(f"TRY_CAST({value[c]} AS {kind[c].upper()}) AS {c}" for c in FEATURE_COLUMNS)
+    ids = ", ".join(f'"{c}"' for c in ID_COLUMNS)
+    return f"""
+WITH {FILES}, known AS (SELECT DISTINCT o_custkey, l_suppkey FROM {LINES}),
+e AS (SELECT * FROM known JOIN u ON u_wsfid = CAST(o_custkey AS VARCHAR) JOIN i ON i_aodrno = CAST(l_suppkey AS VARCHAR)
+  LEFT JOIN school ON u_wscnm = wscnm WHERE {_rule(FILE_RULE)})
+SELECT ROW_NUMBER() OVER (ORDER BY {ids}) - 1 AS id, {ids},
+  CAST(COALESCE(u_wlaid, '0') >= '{f.LABEL_FROM}' AS INTEGER) AS {LABEL}, {numbers} FROM e"""
+
+
+def _job_scores() -> str:
+    return f"""
+WITH {FILES}, mapping AS ({_bound(f.MAPPING, "supplier")})
+SELECT mapping_wjoid AS predicted_wjoid, u_wsfid AS predicted_wsfid, i_aodrno AS predicted_aodrno,
+  u_wsfno AS predicted_wsfno, 'u_wlaid' AS decides
+FROM u JOIN i ON {_rule(FILE_RULE)} JOIN mapping ON mapping_aodrid = i_aodrid
+WHERE COALESCE(u_wlaid, '0') >= '{f.LABEL_FROM}'"""
+
+
+def _job_targets() -> str:
+    def events(name: str) -> str:
+        kept, columns = f.FACTS[name]
+        return f"({_bound(columns, LINES + ' WHERE ' + kept)})"
+
+    def named(column: str) -> str:
+        return f"(SELECT {column} FROM t WHERE {column} NOT IN ('', 'nan'))"
+
+    return f"""
+WITH t AS ({_bound(f.TARGETS, "supplier WHERE " + f.TARGETED)})
+SELECT 'aodrid_to_wjoid' AS kind, number AS c1, id AS c2, "work" AS c3 FROM t
+UNION ALL SELECT 'target_items', i_aodrno, i_assyulid, i_must_assyulid FROM ({_bound(f.REPORT_ITEMS, "supplier")}) AS i
+  WHERE i_aodrno IN {named("number")}
+UNION ALL SELECT 'target_passed', passed_aodrid, passed_astfid, NULL FROM {events("passed")} AS p
+  WHERE passed_aodrid IN {named("id")}
+UNION ALL SELECT 'target_mailed', scout_mail_wjoid, scout_mail_wsfid, NULL FROM {events("mailed")} AS m
+  WHERE scout_mail_wjoid IN {named('"work"')}
+UNION ALL SELECT 'target_applied', applied_aodrid, applied_astfid, NULL FROM {events("applied")} AS a
+  WHERE applied_aodrid IN {named("id")}"""
+
+
+def _job_index() -> str:
+    log = (
+        '(SELECT CAST(o_custkey AS VARCHAR) AS "user", CAST(l_partkey AS VARCHAR) AS item, '
+        f"CAST(l_quantity AS DOUBLE) AS rating FROM {LINES}) AS log"
+    )
+    return (
+        f"""SELECT copy, log."user", log.item, rating, du.dense AS unique_user_id, di.dense AS unique_item_id FROM {log} """
+        f"""JOIN ({_dense('"user"', log)}) AS du ON log."user" = du."user" """
+        f"""JOIN ({_dense("item", log)}) AS di ON log.item = di.item """
+        "CROSS JOIN (SELECT UNNEST(['latest', 'dated']) AS copy) AS copies"
+    )
+
+
 def _dense(key: str, source: str) -> str:
     return (
         f"SELECT {key}, ROW_NUMBER() OVER (ORDER BY SUBSTR(MD5(CAST({key} AS VARCHAR)), 1, 3), {key}) - 1 AS dense "
@@ -310,4 +373,12 @@ ORACLE: dict[str, str] = {
         "AS is_train FROM customer"
     ),
     "candidate_features": _candidates(),
+    "job_training": _job_training(),
+    "job_scores": _job_scores(),
+    "job_targets": _job_targets(),
+    "job_index": _job_index(),
+    "job_recommend": (
+        "SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS user_id, 5 AS n_scores, 0 AS wrong, 0 AS missed "
+        f"FROM {LINES} JOIN customer ON c_custkey = o_custkey"
+    ),
 }

@@ -38,6 +38,7 @@ from pairwright.session import materialize, scratch_path
 from pairwright.sources.export import export_by_key
 from pairwright.workload import frames as f
 from pairwright.workload.frames import bind, table
+from pairwright.workload.job_queries import JOB_QUERIES
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -374,4 +375,5 @@ QUERIES: dict[str, Query] = {
     "factor_topn": q_factor_topn,
     "present_flag": q_present_flag,
     "export_by_key_files": q_export_by_key_files,
+    **JOB_QUERIES,
 }
