@@ -18,9 +18,18 @@ from pairwright.session import materialize
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+#: Bytes of text that a Python worker is given at a time. Sets memory alone: no result depends on it.
+BATCH_BYTES = 4 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound what workers hold by bytes, not by the number of documents, for this and the later stages of the session."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the base rule or the learned rules go."""
+    small_batches(spark)
     rules = fit_quality_rules(docs, table(spark, sf_dir, "labels"))
     judged = quality_verdicts(docs, rules)
     return judged.where(F.col(judged.columns[-1])["kept"]).select(*columns_of(docs))
@@ -28,6 +37,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines found in ten documents or more go from every document; ``n_chars`` follows the text."""
+    small_batches(spark)
     dropped = drop_frequent_lines(docs)
     text = F.col(dropped.columns[-1])["text"]
     changed = {"text": text, "n_chars": F.length(text).cast("long")}
@@ -36,11 +46,13 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of documents whose fingerprints link, the one with the smallest id stays."""
+    small_batches(spark)
     return keep_one(docs)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as many times as the mix takes it, up to three; one that it does not take goes."""
+    small_batches(spark)
     mixed = mix_sources(docs)
     copies = F.col(mixed.columns[-1])["copies"]
     [time] = free_name(mixed, "time")
@@ -50,6 +62,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents and copies, in sequences of at most 4096 tokens."""
+    small_batches(spark)
     return pack(docs, public_tokenizers.path("word_bpe_49k.json")).withColumnRenamed("key", "doc_id")
 
 
