@@ -141,22 +141,25 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", ma
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", max_bits: int = 3) -> DataFrame:
     """One document of each group of near duplicates: the smallest key, of equal keys the smallest text hash.
 
-    Null keys come last. Documents that go are named by key and text hash, so nothing but these joins the texts. Rows that
-    repeat the document that stays are reduced to one, which shuffles only such rows.
+    Null keys come last. The document that stays is sought in each fingerprint, then in each component, so no copy and no
+    member of a large component goes to another's task: both are minima that tasks take before the shuffle. Documents are
+    joined with the key and text hash of what stays. Rows that repeat a document that stays are reduced to one, which
+    shuffles only such rows.
     """
     prints = fingerprint_rows(docs, key, text)
     rows = prints.groupBy("fp", "key", "t1", "t2").agg(F.count(F.lit(1)).alias("n"))
-    rows = rows.join(fingerprint_groups(prints, max_bits=max_bits).select("fp", "root"), "fp")
-    rows = materialize(rows.withColumn("place", F.struct(F.col("key").isNull(), "key", "t1", "t2")), "fingerprint-groups")
-    best = rows.groupBy("root").agg(F.min("place").alias("best"))
-    marked = rows.join(best, "root").withColumn("stays", F.col("place").eqNullSafe(F.col("best"))).where("NOT stays OR n > 1")
-    k, a, b, stays = free_name(docs, "_key", "_t1", "_t2", "_stays")
-    marked = materialize(marked.select(*[F.col(x).alias(y) for x, y in zip(("key", "t1", "t2", "stays"), (k, a, b, stays))]), "dropped")
+    place = F.struct(F.col("key").isNull().alias("last"), "key", "t1", "t2", "n")
+    first = rows.groupBy("fp").agg(F.min(place).alias("first"))
+    groups = fingerprint_groups(prints, max_bits=max_bits).select("fp", "root")
+    best = first.join(groups, "fp").groupBy("root").agg(F.min("first").alias("first"))
+    names = k, a, b, times = free_name(docs, "_key", "_t1", "_t2", "_n")
+    stays = best.select(*[F.col("first")[x].alias(y) for x, y in zip(("key", "t1", "t2", "n"), names)])
+    stays = materialize(stays, "staying")
     t1, t2 = text_key(text)
-    here = (F.col(key).eqNullSafe(marked[k])) & (t1 == marked[a]) & (t2 == marked[b])
-    # the same plan at every size: what goes grows with the documents
-    joined = docs.hint("merge").join(marked.hint("merge"), here, "left")
-    single = joined.where(F.col(stays).isNull()).select(*columns_of(docs))
-    if marked.where(F.col(stays)).isEmpty():
+    here = (F.col(key).eqNullSafe(stays[k])) & (t1 == stays[a]) & (t2 == stays[b])
+    # the same plan at every size: what stays grows with the documents
+    joined = docs.hint("merge").join(stays.hint("merge"), here)
+    single = joined.where(F.col(times) == 1).select(*columns_of(docs))
+    if stays.where(F.col(times) > 1).isEmpty():
         return single
-    return single.unionByName(joined.where(F.col(stays)).dropDuplicates([k, a, b]).select(*columns_of(docs)))
+    return single.unionByName(joined.where(F.col(times) > 1).dropDuplicates([k, a, b]).select(*columns_of(docs)))

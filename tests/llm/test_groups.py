@@ -47,6 +47,18 @@ def test_one_of_each_group_stays(edge_docs, edge_rows, no_docs):
     assert simhash.keep_one(no_docs).count() == 0
 
 
+def test_one_of_a_large_group_stays(spark):
+    words = [f"word{i * 7919 % 3001}" for i in range(3000)]
+    near = [" ".join([*words[:i], "changed", *words[i + 1 :]]) for i in range(0, 3000, 60)]
+    rows = [(i, " ".join(words)) for i in range(500, 700)] + [(None, " ".join(words))] * 50
+    rows += [(i + 100, t) for i, t in enumerate(near)] + [(100, near[0])] * 40 + [(i, f"alone {i} of its own") for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    kept = sorted((r.doc_id, r.text) for r in simhash.keep_one(docs).collect())
+    want = brute.one_of_each(*map(list, zip(*rows)))
+    assert sorted(k for k, _ in kept) == sorted(want)
+    assert (100, near[0]) in kept and len(kept) < 45
+
+
 def test_links_of_fingerprints_are_complete(spark):
     draw = np.random.default_rng(5)
     prints = set()
