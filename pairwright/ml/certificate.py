@@ -8,6 +8,8 @@ what was returned: a row that should have been returned shows as ``missed``, wha
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -46,17 +48,22 @@ def _floors(best: DataFrame, users: DataFrame, items: DataFrame, limit: int) ->
     return known.join(above.groupBy("user_id").agg(F.count(F.lit(1)).alias("kept")), "user_id", "left").na.fill(0, ["kept"])
 
 
-def _count_above(users: pd.DataFrame, items: pd.DataFrame) -> pd.DataFrame:
-    """Rows (user_id, found, compared) of one block of users and one of items."""
-    if not len(users) or not len(items):
-        return pd.DataFrame({"user_id": users["user_id"].iloc[:0], "found": np.zeros(0, int), "compared": np.zeros(0, int)})
-    right = np.stack(items["_i"].to_numpy()).astype(np.float64).T
-    found = np.zeros(len(users), int)
-    for at in range(0, len(users), 256):
-        part = users.iloc[at : at + 256]
-        scores = (np.stack(part["_u"].to_numpy()).astype(np.float64) @ right).astype(np.float32)
-        found[at : at + 256] = (scores > part["floor"].to_numpy()[:, None]).sum(1)
-    return pd.DataFrame({"user_id": users["user_id"], "found": found, "compared": len(items)})
+def _counter() -> Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame]:
+    """The count of one cell. It goes to the workers by value, so they need not have this package."""
+
+    def count_above(users: pd.DataFrame, items: pd.DataFrame) -> pd.DataFrame:
+        """Rows (user_id, found, compared) of one block of users and one of items."""
+        if not len(users) or not len(items):
+            return pd.DataFrame({"user_id": users["user_id"].iloc[:0], "found": np.zeros(0, int), "compared": np.zeros(0, int)})
+        right = np.stack(items["_i"].to_numpy()).astype(np.float64).T
+        found = np.zeros(len(users), int)
+        for at in range(0, len(users), 256):
+            part = users.iloc[at : at + 256]
+            scores = (np.stack(part["_u"].to_numpy()).astype(np.float64) @ right).astype(np.float32)
+            found[at : at + 256] = (scores > part["floor"].to_numpy()[:, None]).sum(1)
+        return pd.DataFrame({"user_id": users["user_id"], "found": found, "compared": len(items)})
+
+    return count_above
 
 
 def top_certificate(
@@ -94,7 +101,7 @@ def top_certificate(
     right = right.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(user_blocks - 1)))).select("block", "class", "part", "item_id", "_i")
     cell = ["block", "class", "part"]
     schema = f"user_id {known.schema['user_id'].dataType.simpleString()}, found long, compared long"
-    counted = left.groupBy(*cell).cogroup(right.groupBy(*cell)).applyInPandas(_count_above, schema)
+    counted = left.groupBy(*cell).cogroup(right.groupBy(*cell)).applyInPandas(_counter(), schema)
     sums = counted.groupBy("user_id").agg(F.sum("found").alias("found"), F.sum("compared").alias("compared"))
     whole = known.join(sums, "user_id", "left").na.fill(0, ["found", "compared"])
     return whole.select("user_id", "n_scores", "wrong", (F.col("found") - F.col("kept")).alias("missed"), "compared")
