@@ -24,14 +24,18 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pairwright.llm.common import ascii_words
-from pairwright.llm.tokens import KNOWN_SEGMENTS, load_tokenizer
+from pairwright.llm.tokens import load_tokenizer
 from pairwright.session import materialize
 
 FEW_PIECES = 20_000  # up to so many, the plan is held against best fit alone
 RANKS_PER_TASK = 20_000  # pieces of one class that are numbered together
 
 
-_PLAIN = re.compile(r"([a-zß-öø-ÿ]*)([!-/:-@\[-`{-~]*)")  # letters that are in composed form, then marks
+_LETTERS = re.compile(r"[a-zß-öø-ÿ]*")  # letters that are in composed form
+_MARKS = bytes([*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)])
+# Entries that a task remembers at most, some 150 bytes each. No result depends on them. Words are many, as each comes with
+# marks and capitals of its own; their parts are fewer, cost more to find, and a word is soon put together from them.
+KNOWN_WORDS, KNOWN_PARTS = 80_000, 220_000
 _BYTES = [*range(33, 127), *range(161, 173), *range(174, 256)]
 #: The printable character that stands for each byte in byte-level vocabularies: the byte's own, or the next free one.
 _AS_CHAR = {
@@ -40,10 +44,10 @@ _AS_CHAR = {
 }
 
 
-def _trim(known: dict) -> None:
+def _trim(known: dict, size: int) -> None:
     """Make room in a table that is full. What came first, and so comes often, stays."""
-    if len(known) > KNOWN_SEGMENTS:
-        kept = list(islice(known.items(), KNOWN_SEGMENTS // 2))
+    if len(known) > size:
+        kept = list(islice(known.items(), size // 2))
         known.clear()
         known.update(kept)
 
@@ -56,36 +60,44 @@ class WordIds:
     go through the whole tokenizer.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, words: int = KNOWN_WORDS, parts: int = KNOWN_PARTS) -> None:
         self.path = path
+        self.sizes = words, parts
         self.known: dict[bytes, bytes] = {}
-        self.parts: dict[str, bytes] = {"": b""}
+        self.parts: dict[bytes, bytes] = {b"": b""}  # runs of lower-case letters, runs of marks
 
-    def _part(self, part: str) -> bytes:
-        if (ids := self.parts.get(part)) is None:
-            tokens = load_tokenizer(self.path).model.tokenize(part.encode().decode("latin-1").translate(_AS_CHAR))
-            ids = self.parts[part] = struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
+    def _part(self, part: bytes) -> bytes:
+        tokens = load_tokenizer(self.path).model.tokenize(part.decode("latin-1").translate(_AS_CHAR))
+        ids = self.parts[part] = struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
         return ids
 
     def _word(self, word: bytes) -> bytes:
-        if (ids := self.known.get(word)) is None:
-            if match := _PLAIN.fullmatch(word.lower().decode()):
-                ids = self._part(match[1]) + self._part(match[2])
-            else:
-                tokens = load_tokenizer(self.path).encode(word.decode(), add_special_tokens=False).ids
-                ids = struct.pack(f"<{len(tokens)}I", *tokens)
-            self.known[word] = ids
+        lower = word.lower()
+        letters = lower.rstrip(_MARKS)
+        ids = self.parts.get(letters)
+        if ids is None and not _LETTERS.fullmatch(letters.decode()):
+            tokens = load_tokenizer(self.path).encode(word.decode(), add_special_tokens=False).ids
+            ids = struct.pack(f"<{len(tokens)}I", *tokens)
+        else:
+            if ids is None:
+                ids = self._part(letters)
+            if marks := lower[len(letters) :]:
+                more = self.parts.get(marks)
+                ids += self._part(marks) if more is None else more
+        self.known[word] = ids
         return ids
 
     def __call__(self, text: str | None) -> bytes:
-        _trim(self.known)
-        _trim(self.parts)
+        _trim(self.known, self.sizes[0])
+        _trim(self.parts, self.sizes[1])
         words = ascii_words(text)
         found = list(map(self.known.get, words))
         if None in found:
+            known = self.known
             for i, ids in enumerate(found):
-                if ids is None:
-                    found[i] = self._word(words[i])
+                if ids is None:  # or known by now, if it comes twice
+                    word = words[i]
+                    found[i] = known[word] if word in known else self._word(word)
         return b"".join(found)
 
 
@@ -100,11 +112,13 @@ def check_tokenizer(path: str) -> None:
 
 
 @lru_cache(maxsize=4)
-def word_ids(path: str) -> WordIds:
-    return WordIds(path)
+def word_ids(path: str, parts: int) -> WordIds:
+    return WordIds(path, parts=parts)
 
 
-def token_pieces(docs: DataFrame, path: str, key: str, text: str, capacity: int, end_id: int) -> DataFrame:
+def token_pieces(
+    docs: DataFrame, path: str, key: str, text: str, capacity: int, end_id: int, known_parts: int = KNOWN_PARTS
+) -> DataFrame:
     """Rows (key, start, length, ids_crc32, doc_tokens): each document's ids and the end id in runs of ``capacity``."""
     end = struct.pack("<I", end_id)
 
@@ -112,7 +126,7 @@ def token_pieces(docs: DataFrame, path: str, key: str, text: str, capacity: int,
         for batch in parts:
             source, starts, lengths, sums, totals = [], [], [], [], []
             for row in range(batch.num_rows):
-                ids = word_ids(path)(batch.column(1)[row].as_py()) + end
+                ids = word_ids(path, known_parts)(batch.column(1)[row].as_py()) + end
                 total = len(ids) // 4
                 for start in range(0, total, capacity):
                     piece = ids[4 * start : 4 * (start + capacity)]
@@ -296,18 +310,20 @@ def pack(
     capacity: int = 4096,
     end_id: int = 2,
     step: int = 8,
+    known_parts: int = KNOWN_PARTS,
 ) -> DataFrame:
     """Rows (key, start, length, ids_crc32, doc_tokens, sequence_id, offset), one for each piece.
 
     A null or empty text is the end id alone. Only a document longer than the capacity is cut. Classes are multiples of
     ``step``, so planning sees ``capacity / step`` numbers, and a piece wastes less than ``step`` tokens beside what its
     pattern leaves. Ranks within a class are numbered in parts, so a class with a third of all pieces is no bottleneck;
-    repeated rows are ranked side by side, and which of them is where makes no difference to the result.
+    repeated rows are ranked side by side, and which of them is where makes no difference to the result. ``known_parts`` are
+    the parts of words whose ids a task remembers, some 150 bytes each: more cost memory, fewer cost time.
     """
     if capacity % step:
         raise ValueError("step must divide capacity")
     check_tokenizer(path)
-    pieces = token_pieces(docs, path, key, text, capacity, end_id)
+    pieces = token_pieces(docs, path, key, text, capacity, end_id, known_parts)
     pieces = materialize(pieces.withColumn("at", F.monotonically_increasing_id()), "pieces")  # tells repeated rows apart
     size = (F.ceil(F.col("length") / step) * step).cast("long")
     histogram = {r.size: r.n for r in pieces.groupBy(size.alias("size")).agg(F.count(F.lit(1)).alias("n")).collect()}

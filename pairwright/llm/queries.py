@@ -82,7 +82,8 @@ def op8_markov(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op9_cutting_stock(spark: SparkSession, folder: str) -> DataFrame:
-    packed = pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    path = public_tokenizers.path("word_bpe_49k.json")
+    packed = pack(table(spark, folder, "documents"), path, known_parts=600_000)  # about 100 MB a task
     return packed.withColumnRenamed("key", "doc_id")
 
 
