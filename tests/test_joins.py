@@ -116,3 +116,35 @@ def test_spread_is_the_same_when_computed_again(spark):
     tagged = df.withColumn("s", joins._spread(df))
     assert tagged.collect() == tagged.collect()
     assert tagged.distinct().count() == 15
+
+
+def test_blocks_keep_every_row(spark, other):
+    """Keys with more rows than a block, copies, null keys and null values."""
+    right = other.select(F.when(F.col("w") % 7 != 0, F.col("k") % 4).alias("k"), F.nullif(F.col("w") % 50, F.lit(3)).alias("w"))
+    right = right.unionByName(right)
+    blocks = joins._blocks(right, ["k"], ["w"], block_rows=8)
+    assert blocks.agg(F.max(F.size("_block"))).first()[0] == 8
+    assert values(blocks.select("k", F.inline("_block"))) == values(right)
+
+
+def test_pair_join_sends_a_side_of_many_rows_as_blocks(spark):
+    """More rows of a key than one block holds; the joined table has a row for each block, and other rows than 500 000 in all."""
+    right = spark.range(600_000).select((F.col("id") % 300).alias("k"), F.col("id").alias("w"))
+    left = spark.range(0, 900, 3).select("id", F.col("id").alias("k"))
+    met = pair_join(left, right, ["k"])
+    assert "BroadcastHashJoin" in met._jdf.queryExecution().executedPlan().toString()
+    assert met.columns == ["k", "id", "w"]
+    total = met.agg(F.count(F.lit(1)), F.sum("w"), F.sum((F.col("w") % 300 != F.col("k")).cast("int"))).first()
+    assert tuple(total) == (100 * 2000, sum(w for w in range(600_000) if w % 300 % 3 == 0), 0)
+
+
+def test_pair_join_of_keys_alone(spark, skewed, other):
+    keys = other.select("k")
+    assert values(pair_join(skewed, keys, ["k"])) == values(skewed.join(keys, ["k"]))
+
+
+def test_pair_join_with_a_name_on_both_sides(spark, skewed, other):
+    right = other.withColumnRenamed("w", "v")
+    found = pair_join(skewed, right, ["k"])
+    assert found.columns == ["k", "v", "v"]
+    assert values(found.toDF("k", "v", "w")) == values(skewed.join(other, ["k"]))

@@ -55,3 +55,12 @@ def test_gap_bands_at_their_bounds(spark):
     rows = spark.createDataFrame([(n, g) for n, g in enumerate(gaps)], "n int, g double")
     banded = rows.select("n", gap_band(F.col("g"), F.lit(0.0), parse=False)).collect()
     assert [b for _, b in sorted(banded)] == [*"1223445560610"]
+
+
+def test_items_are_met_in_blocks_of_a_key(spark):
+    """A user meets an array of a key's items, and no hash table has a row for each item, however many there are."""
+    pairs = QUERIES["eligible_pairs"](spark, SMOKE)
+    plan = pairs._jdf.queryExecution().optimizedPlan().toString()
+    assert "inline(" in plan[: plan.index("Join Inner")]
+    assert "collect_list" in plan[plan.index("Join Inner") :]
+    assert "offer" not in plan  # what pairs do not need is not sent
