@@ -5,7 +5,7 @@ from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from pairwright.ml.als import ITEM_ID, USER_ID, fit_als, index_log, listed_factors, score_factors, score_lists
+from pairwright.ml.als import ITEM_ID, USER_ID, _top_finder, fit_als, index_log, listed_factors, score_factors, score_lists
 from pairwright.ml.certificate import top_certificate
 from pairwright.ml.forest import FULL_GRID, fit_forest, match_scores, param_grid
 from pairwright.session import materialize
@@ -212,3 +212,50 @@ def test_certificate_prunes_by_norm(spark):
     assert all((r.wrong, r.missed) == (0, 0) for r in rows) and len(rows) == 21
     assert all(r.compared <= 40 for r in rows)  # of 2 000
     assert top_certificate(score_factors(left, right.limit(0), 3), left, right.limit(0), 3).count() == 21
+
+
+@pytest.mark.parametrize("limit", [1, 5])
+@pytest.mark.parametrize("kind", ["plain", "ties", "no numbers", "tiny"])
+def test_leaves_give_the_top_of_all_products(kind, limit):
+    draw = np.random.default_rng(4)
+    users, items = draw.normal(size=(90, 3)), draw.normal(size=(1500, 3))
+    if kind == "ties":
+        users, items = np.round(users), np.round(items)
+    if kind == "no numbers":
+        items[[3, 700]], items[9], users[0] = np.nan, np.inf, np.nan
+    if kind == "tiny":
+        users, items = users * 1e-20, items * draw.choice([1e-20, 1.0], size=(1500, 1))
+    with np.errstate(all="ignore"):
+        scores = sum(users[:, n : n + 1] * items[:, n] for n in range(3)).astype(np.float32)
+        expected = set()
+        for user, row in enumerate(scores):
+            for least in np.unique(row[row > 0])[-limit:][:1]:
+                expected |= {(user, item, row[item]) for item in np.flatnonzero(row >= least)}
+        rows, cols, kept, _ = _top_finder(limit)(users, items)
+    assert len(rows) == len(expected) and {*zip(rows, cols, kept)} == expected
+
+
+def test_the_top_is_found_without_most_products():
+    """Items of equal norm, so that norms prune nothing; before, every item was scored for every user."""
+    draw = np.random.default_rng(5)
+    users, items = draw.normal(size=(200, 4)), draw.normal(size=(40_000, 4))
+    items /= np.sqrt((items**2).sum(axis=1, keepdims=True))
+    rows, _, _, made = _top_finder(5)(users, items)
+    assert len(rows) == 1000 and made < 0.2 * 200 * 40_000
+
+
+def test_certificate_prunes_items_of_equal_norm(spark):
+    draw = np.random.default_rng(6)
+    items = draw.normal(size=(20_000, 3))
+    items /= np.sqrt((items**2).sum(axis=1, keepdims=True))
+    left = spark.createDataFrame([(n, n, f.tolist()) for n, f in enumerate(draw.normal(size=(50, 3)))], "user_id long, id long, _factors array<float>")
+    right = spark.createDataFrame([(n, n, f.tolist()) for n, f in enumerate(items)], "item_id long, id long, _factors array<float>")
+    rows = top_certificate(score_factors(left, right, 3), left, right, 3).collect()
+    assert len(rows) == 50 and {(r.n_scores, r.wrong, r.missed) for r in rows} == {(3, 0, 0)}
+    assert max(r.compared for r in rows) < 4_000  # of 20 000, all of which were compared before
+
+
+def test_users_are_cut_so_that_all_cores_have_blocks(spark):
+    left, right = (spark.range(9000).select(F.col("id").alias(n), "id", F.array(F.lit(1.0)).alias("_factors")) for n in ("user_id", "item_id"))
+    plan = score_factors(left, right.limit(5), 1)._jdf.queryExecution().optimizedPlan().toString()
+    assert "3) as int) AS _row" in plan and "1) as int) AS _col" in plan
